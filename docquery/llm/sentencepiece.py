@@ -46,7 +46,7 @@ MARK = "▁"
 OWN_MARK = "\udc81"
 UNKNOWN_PENALTY = 10.0
 #: Words of at most so many characters are kept in a memo of so many entries.
-MEMO_CHARS, MEMO_WORDS = 24, 400_000
+MEMO_CHARS, MEMO_WORDS = 24, 200_000
 LEAST = float("-inf")
 
 Memo = dict[str, bytes]  # text -> its ids, packed as 32-bit integers
@@ -246,8 +246,8 @@ class PieceModel:
         plain = self.trie.plain
         fit = [w for w in unseen if plain(w)]
         fit.sort(key=len, reverse=True)
-        for at in range(0, len(fit), 50_000):
-            part = fit[at : at + 50_000]
+        for at in range(0, len(fit), 10_000):
+            part = fit[at : at + 10_000]
             words.update(zip(part, self.trie.solve(part), strict=True))
 
     def learn(self, body: str) -> None:
@@ -388,8 +388,8 @@ def encode_texts(docs: DataFrame, model: PieceModel, chunk: int = CHUNK) -> Data
     def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = shipped.value.encode_all
         for b in batches:
-            for i in range(0, len(b), 1000):
-                part = b.iloc[i : i + 1000]
+            for i in range(0, len(b), 400):
+                part = b.iloc[i : i + 400]
                 yield pd.DataFrame({"doc_id": part["doc_id"], "text_sha256": part["text_sha256"], "ids": encode(part["text"])})
 
     def transfers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
