@@ -29,6 +29,8 @@ WEIGHTS = (5, 2, 1)
 CAP = 3
 #: How far a source's weight moves from its mean until the end of training, by rank; between -1 and 1.
 SLOPES = (-0.5, 0.0, 0.5)
+#: Sources, at some 100 bytes each, up to which they are broadcast.
+MAX_BROADCAST_SOURCES = 20_000
 
 
 def words_in(text: str = "text") -> Column:
@@ -87,7 +89,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, slo
     slope = F.element_at(F.array(*map(F.lit, slopes)), (F.col("turn") % len(slopes) + 1).cast("int"))
     # the upper 32 bits of the hash choose the bucket, in the hash's own order
     unit = F.conv(F.substring("h", 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
-    dealt = rows.join(sources.withColumn("slope", slope), "skey").withColumn("bucket", F.floor(unit * F.ceil(F.sqrt("n_docs"))))
+    # One narrow row per source: broadcast while that is small by count; beyond it, a plain join.
+    shared = stored(sources.withColumn("slope", slope))
+    few = F.broadcast(shared) if shared.count() <= MAX_BROADCAST_SOURCES else shared
+    dealt = rows.join(few, "skey").withColumn("bucket", F.floor(unit * F.ceil(F.sqrt("n_docs"))))
     inside = Window.partitionBy("skey", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = dealt.withColumn("upto", F.sum("size").over(inside))
     buckets = dealt.groupBy("skey", "bucket").agg(F.sum("size").alias("bucket_size"))
