@@ -33,6 +33,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ MARK = "▁"
 OWN_MARK = "\udc81"
 UNKNOWN_PENALTY = 10.0
 #: Words of at most so many characters are kept in a memo of so many entries.
-MEMO_CHARS, MEMO_WORDS = 24, 200_000
+MEMO_CHARS, MEMO_WORDS = 24, 150_000
 LEAST = float("-inf")
 
 Memo = dict[str, bytes]  # text -> its ids, packed as 32-bit integers
@@ -70,7 +71,7 @@ class Trie:
 
     def __init__(self, model: PieceModel):
         often = Counter(chain.from_iterable(model.pieces))
-        alphabet = sorted((c for c in often if c in model.pieces and ord(c) < 0x10000), key=lambda c: (-often[c], c))[:255]
+        alphabet = sorted((c for c in often if c in model.pieces and ord(c) < 0x10000), key=lambda c: (-often[c], c))[:160]
         number = {c: k for k, c in enumerate(alphabet, 1)}
         nodes: dict[str, int] = {"": 0}
         links: list[tuple[int, int, int]] = []
@@ -378,19 +379,27 @@ def _escaped(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
-def encode_texts(docs: DataFrame, model: PieceModel, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, text_sha256, ids) per row of docs (doc_id, text)."""
+def encode_texts(docs: DataFrame, model: PieceModel, chunk: int = CHUNK, check: bool = False) -> DataFrame:
+    """(doc_id, text_sha256, ids, round_trip) per row of docs (doc_id, text).
+
+    With check, round_trip says whether the ids decode to the text; else it is null.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # one vocabulary: some MB at most
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("text_sha256", F.sha2("text", 256))
     giant = F.length("text") > chunk
 
-    def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = shipped.value.encode_all
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shipped.value
         for b in batches:
-            for i in range(0, len(b), 400):
-                part = b.iloc[i : i + 400]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "text_sha256": part["text_sha256"], "ids": encode(part["text"])})
+            for i in range(0, b.num_rows, 400):  # a few texts at a time: the batch itself stays packed
+                part = b.slice(i, 400)
+                texts = part.column("text").to_pylist()
+                ids = m.encode_all(texts)
+                right = [m.decode(x) == t for x, t in zip(ids, texts, strict=True)] if check else [None] * len(ids)
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "text_sha256": part.column("text_sha256"), "ids": lists, "round_trip": pa.array(right, pa.bool_())})
 
     def transfers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shipped.value
@@ -419,8 +428,8 @@ def encode_texts(docs: DataFrame, model: PieceModel, chunk: int = CHUNK) -> Data
             ]
             yield pd.DataFrame({"key": b["key"], "no": b["no"], "ids": ids})
 
-    out = "doc_id long, text_sha256 string, ids array<int>"
-    small = rows.filter(~giant).mapInPandas(short, out)
+    out = "doc_id long, text_sha256 string, ids array<int>, round_trip boolean"
+    small = rows.filter(~giant).mapInArrow(short, out)
     long_rows = rows.filter(giant)
     texts = long_rows.select("text_sha256", "text")
     matrices = texts.mapInPandas(transfers, "key string, no int, matrix array<double>").dropDuplicates(["key", "no"])
@@ -429,7 +438,12 @@ def encode_texts(docs: DataFrame, model: PieceModel, chunk: int = CHUNK) -> Data
     parts = bodies.join(borders, ["key", "no"]).mapInPandas(traced, "key string, no int, ids array<int>")
     joined = parts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("no", "ids"))).alias("parts"))
     whole = joined.select(F.col("key").alias("text_sha256"), F.flatten("parts.ids").alias("ids"))
-    return small.union(long_rows.select("doc_id", "text_sha256").join(whole, "text_sha256").select("doc_id", "text_sha256", "ids"))
+    if check:
+        digest = F.pandas_udf(lambda ids: pd.Series([hashlib.sha256(shipped.value.decode(x).encode()).hexdigest() for x in ids]), "string")
+        whole = whole.withColumn("round_trip", digest("ids") == F.col("text_sha256"))
+    else:
+        whole = whole.withColumn("round_trip", F.lit(None).cast("boolean"))
+    return small.union(long_rows.select("doc_id", "text_sha256").join(whole, "text_sha256").select("doc_id", "text_sha256", "ids", "round_trip"))
 
 
 def decode_ids(encoded: DataFrame, model: PieceModel, name: str = "decoded") -> DataFrame:
@@ -439,16 +453,8 @@ def decode_ids(encoded: DataFrame, model: PieceModel, name: str = "decoded") ->
     return encoded.withColumn(name, decoded("ids"))
 
 
-def with_round_trip(encoded: DataFrame, model: PieceModel) -> DataFrame:
-    """encoded with round_trip: whether the ids decode to a text of the same SHA-256."""
-    shipped = encoded.sparkSession.sparkContext.broadcast(model)
-    digest = F.pandas_udf(lambda ids: pd.Series([hashlib.sha256(shipped.value.decode(x).encode()).hexdigest() for x in ids]), "string")
-    return encoded.withColumn("round_trip", digest("ids") == F.col("text_sha256"))
-
-
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = load_model()
-    found = with_round_trip(encode_texts(table(spark, sf_dir, "documents"), model), model)
+    found = encode_texts(table(spark, sf_dir, "documents"), load_model(), check=True)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "round_trip", "text_sha256", "ids")
 
 

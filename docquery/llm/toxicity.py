@@ -6,8 +6,8 @@ isotonic map. Whole texts are then scored in one pass with no shuffle.
 
 Defined results: a null text counts as empty; an empty text gets the score that the trees give
 to all-zero features; rows are kept one for one, repeated rows included; a label row with a
-null doc_id or label is not used; without usable labels the score is the constant 0.5's
-neighbourhood given by the smoothed prior. Columns of the input other than doc_id and text are
+null doc_id or label is not used; where the folds for the trees hold one class only, or none,
+nothing can be told apart, and every score is the same and under 0.5. Columns of the input other than doc_id and text are
 passed through by `score_toxicity` and may have any name except the three that it adds.
 """
 
@@ -147,6 +147,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     got = sampled(rows.filter("fold in (3, 4)"), max_labelled).mapInPandas(measured, schema).toPandas()
     got = got.sort_values(["doc_id", *FEATURES], kind="stable")
     x, y, half = got[list(FEATURES)].to_numpy(float), got["toxic"].to_numpy(float), got["fold"].to_numpy() == 3
+    if not len(y) or y.min() == y.max():
+        share = (y.sum() + 0.5) / (len(y) + 1.0)
+        return ToxicityModel(lexicon, fit_trees(x, y), Isotonic(np.array([0.0]), np.array([0.49 * share])))
     unseen = np.zeros(len(y))
     for fitted, judged in ((half, ~half), (~half, half)):
         unseen[judged] = fit_trees(x[fitted], y[fitted]).margin(x[judged])
