@@ -4,9 +4,11 @@ A text is cut into the pieces of a vocabulary so that the sum of their scores is
 unigram decoder's segmentation). That is a shortest-path problem, and paths compose: a chunk of
 a text is a max-plus matrix from the state at its start (how many characters a piece from the
 chunk before reaches into it) to the state at its end. So giant documents are cut into chunks
-of a fixed size, tasks make the chunks' matrices independently, the matrices of a document are
+of a fixed size, each gets its matrix independently of the others, the matrices of a document are
 combined by an associative scan, which gives the state at every chunk border, and each chunk is
-then backtraced by itself. Short documents are one chunk and need no shuffle.
+then backtraced by itself. Only what lies before a chunk's first and after its last cut depends
+on those states; the rest is cut into pieces beside the matrix. Giant documents are shuffled
+once, as outlines of their chunks; short documents are one chunk and not shuffled at all.
 
 Where no piece of the vocabulary has a word-start mark after another character, every word
 start is a single state; inner words are then independent of the rest of the chunk, and a bounded
@@ -34,6 +36,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -304,17 +307,31 @@ class PieceModel:
             out[s, : end - n + 1] = head[first] + inner + np.array(tail[n - last : end - last + 1])
         return out
 
-    def backtrace(self, body: str, ahead: str, start: int, stop: int) -> list[int]:
-        """Ids of the pieces that start in the chunk, between given states at its borders."""
-        text, end, first, last = body + ahead, len(body) + stop, *self.cuts(body)
+    def outline(self, body: str, ahead: str) -> tuple[str, bytes, str, int]:
+        """What of a chunk depends on the states at its borders, and the ids of what doesn't.
+
+        (text before the first cut, packed ids of the words between the cuts, text from the last
+        cut on with the characters ahead, how many of those are in the chunk). Without a cut, all
+        is in the third.
+        """
+        first, last = self.cuts(body)
         if first == 0:
-            return self.ids_between(text, self.forward(text, start, len(body), end)[1], start, end)
-        out = self.ids_between(body, self.forward(body, start, first, first)[1], start, first)
-        self.learn(body[first:last])
-        out.extend(np.frombuffer(self.packed(self.word.findall(body[first:last])), np.int32).tolist())
-        tail = text[last:end]
-        out.extend(self.ids_between(tail, self.forward(tail, 0, len(body) - last, len(tail))[1], 0, len(tail)))
-        return out
+            return "", b"", body + ahead, len(body)
+        words = self.word.findall(body[first:last])
+        return body[:first], self.packed(words), (body + ahead)[last:], len(body) - last
+
+    def trace(self, head: str, inner: bytes, tail: str, n_tail: int, start: int, stop: int) -> list[int]:
+        """Ids of the pieces that start in an outlined chunk, between given states at its borders."""
+        begin, out = start, []
+        if head:
+            n = len(head)
+            out = self.ids_between(head, self.forward(head, start, n, n)[1], start, n) + np.frombuffer(inner, np.int32).tolist()
+            begin = 0
+        end = n_tail + stop
+        return out + self.ids_between(tail, self.forward(tail, begin, n_tail, end)[1], begin, end)
+
+    def backtrace(self, body: str, ahead: str, start: int, stop: int) -> list[int]:
+        return self.trace(*self.outline(body, ahead), start, stop)
 
 
 def load_model(path: str = MODEL_FILE) -> PieceModel:
@@ -379,6 +396,10 @@ def _escaped(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
+def _plain(raw: bytes) -> str:
+    return bytes(raw).decode("utf-8", "surrogatepass")
+
+
 def encode_texts(docs: DataFrame, model: PieceModel, chunk: int = CHUNK, check: bool = False) -> DataFrame:
     """(doc_id, text_sha256, ids, round_trip) per row of docs (doc_id, text).
 
@@ -401,49 +422,40 @@ def encode_texts(docs: DataFrame, model: PieceModel, chunk: int = CHUNK, check:
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
                 yield pa.record_batch({"doc_id": part.column("doc_id"), "text_sha256": part.column("text_sha256"), "ids": lists, "round_trip": pa.array(right, pa.bool_())})
 
-    def transfers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shipped.value
-        for b in batches:
-            for key, text in zip(b["text_sha256"], b["text"], strict=True):
-                yield pd.DataFrame([(key, no, m.transfer(body, ahead).ravel()) for no, body, ahead in chunked(m, text, chunk)], columns=["key", "no", "matrix"])
-
-    def states(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("no")
-        width = shipped.value.reach
-        at = border_states(np.stack(group["matrix"].to_numpy()).reshape(-1, width, width))
-        return pd.DataFrame({"key": group["key"], "no": group["no"], "start": at[:-1], "stop": at[1:]})
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shipped.value
-        for b in batches:
-            for key, text in zip(b["text_sha256"], b["text"], strict=True):
-                yield pd.DataFrame([(key, no, _escaped(body), _escaped(ahead)) for no, body, ahead in chunked(m, text, chunk)], columns=["key", "no", "body", "ahead"])
-
-    def traced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shipped.value
+    def outlined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The chunks of giant texts with their matrices; row numbers a text by its place in the input, so repeated rows stay apart."""
+        m, place = shipped.value, TaskContext.get().partitionId() << 40
         for b in batches:
-            ids = [
-                np.array(m.backtrace(bytes(r.body).decode("utf-8", "surrogatepass"), bytes(r.ahead).decode("utf-8", "surrogatepass"), r.start, r.stop), np.int32)
-                for r in b.itertuples()
-            ]
-            yield pd.DataFrame({"key": b["key"], "no": b["no"], "ids": ids})
+            for doc_id, key, text in zip(b["doc_id"], b["text_sha256"], b["text"], strict=True):
+                found = []
+                for no, body, ahead in chunked(m, text, chunk):
+                    matrix = m.transfer(body, ahead).tobytes()
+                    head, inner, tail, n_tail = m.outline(body, ahead)
+                    found.append((place, key, no, matrix, _escaped(head), inner, _escaped(tail), n_tail))
+                got = pd.DataFrame(found, columns=["row", "text_sha256", "no", "matrix", "head", "inner", "tail", "n_tail"])
+                got["doc_id"] = pd.array([None if pd.isna(doc_id) else int(doc_id)] * len(got), dtype="Int64")
+                yield got
+                place += 1
+
+    def traced(group: pd.DataFrame) -> pd.DataFrame:
+        """All chunks of one text: the scan over their matrices, then each by itself."""
+        m, group = shipped.value, group.sort_values("no")
+        at = border_states(np.stack([np.frombuffer(x, float).reshape(m.reach, m.reach) for x in group["matrix"]]))
+        parts = [
+            np.array(m.trace(_plain(r.head), r.inner, _plain(r.tail), r.n_tail, start, stop), np.int32)
+            for r, start, stop in zip(group.itertuples(), at[:-1], at[1:], strict=True)
+        ]
+        ids, first = np.concatenate(parts), group.iloc[0]
+        right = hashlib.sha256(m.decode(ids).encode()).hexdigest() == first["text_sha256"] if check else None
+        got = pd.DataFrame({"text_sha256": [first["text_sha256"]], "ids": [ids], "round_trip": pd.array([right], dtype="boolean")})
+        got.insert(0, "doc_id", pd.array([None if pd.isna(first["doc_id"]) else int(first["doc_id"])], dtype="Int64"))
+        return got
 
     out = "doc_id long, text_sha256 string, ids array<int>, round_trip boolean"
     small = rows.filter(~giant).mapInArrow(short, out)
-    long_rows = rows.filter(giant)
-    texts = long_rows.select("text_sha256", "text")
-    matrices = texts.mapInPandas(transfers, "key string, no int, matrix array<double>").dropDuplicates(["key", "no"])
-    borders = matrices.groupBy("key").applyInPandas(states, "key string, no int, start int, stop int")
-    bodies = texts.mapInPandas(cut, "key string, no int, body binary, ahead binary").dropDuplicates(["key", "no"])
-    parts = bodies.join(borders, ["key", "no"]).mapInPandas(traced, "key string, no int, ids array<int>")
-    joined = parts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("no", "ids"))).alias("parts"))
-    whole = joined.select(F.col("key").alias("text_sha256"), F.flatten("parts.ids").alias("ids"))
-    if check:
-        digest = F.pandas_udf(lambda ids: pd.Series([hashlib.sha256(shipped.value.decode(x).encode()).hexdigest() for x in ids]), "string")
-        whole = whole.withColumn("round_trip", digest("ids") == F.col("text_sha256"))
-    else:
-        whole = whole.withColumn("round_trip", F.lit(None).cast("boolean"))
-    return small.union(long_rows.select("doc_id", "text_sha256").join(whole, "text_sha256").select("doc_id", "text_sha256", "ids", "round_trip"))
+    chunks = "row long, text_sha256 string, no int, matrix binary, head binary, inner binary, tail binary, n_tail int, doc_id long"
+    large = rows.filter(giant).mapInPandas(outlined, chunks).groupBy("row").applyInPandas(traced, out)
+    return small.union(large)
 
 
 def decode_ids(encoded: DataFrame, model: PieceModel, name: str = "decoded") -> DataFrame:
