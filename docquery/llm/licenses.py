@@ -65,10 +65,11 @@ def needed(n: int, threshold: float) -> int:
 
 def places(folded: bytes, phrase: bytes) -> list[int]:
     """Starts, in words, of the phrase in words joined by single spaces with one at each end."""
-    out, at = [], folded.find(phrase)
+    out, at, seen, n = [], folded.find(phrase), 0, 0
     while at >= 0:
-        out.append(folded.count(b" ", 0, at))
-        at = folded.find(phrase, at + 1)
+        n += folded.count(b" ", seen, at)  # from the place before on, so a text full of phrases stays linear
+        out.append(n)
+        seen, at = at, folded.find(phrase, at + 1)
     return out
 
 
