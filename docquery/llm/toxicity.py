@@ -36,6 +36,8 @@ SECOND_PERSON = frozenset("you your yours yourself du dich dir dein deine ihr eu
 MAX_LABELLED = 24_000
 #: Bound of the learned lexicon.
 MAX_LEXICON = 4_000
+#: Words whose marks a task remembers.
+MAX_REMEMBERED = 200_000
 #: How many words around a lexicon hit a second-person word is looked for.
 NEAR = 5
 
@@ -46,7 +48,7 @@ FEATURES = (
 )
 
 WORD = re.compile(r"[^\W_]+")
-OBFUSCATED = re.compile(r"[A-Za-z]+[0-9@$*!|]+[A-Za-z]")
+OBFUSCATED = re.compile(r"[A-Za-z][0-9@$*!|]+[A-Za-z]")
 PUNCTUATION = re.compile(r"[^\w\s]")
 CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 SHOUTED = re.compile(r"\b[A-ZÀ-ÖØ-Þ]{3,}\b")
@@ -57,26 +59,47 @@ def lexicon_keys(word: str) -> tuple[str, ...]:
     return (word, *(f"{word[:k]}~" for k in (4, 5, 6) if len(word) > k))
 
 
-def features(text: str | None, weights: dict[str, float]) -> list[float]:
-    """FEATURES of one whole text. weights: lexicon key -> log odds."""
+class Marks(dict):
+    """word -> place in `kinds`, the distinct (lexicon weight, insult, second person) of words; place 0 is of words with none.
+
+    Words are looked up once and remembered, up to MAX_REMEMBERED of them.
+    """
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self.weights = weights
+        self.kinds = [(0.0, False, False)]
+        self.places = {self.kinds[0]: 0}
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MAX_REMEMBERED:
+            self.clear()
+        weight = max((self.weights[k] for k in lexicon_keys(word) if k in self.weights), default=0.0)
+        kind = (max(weight, 0.0), word in INSULTS, word in SECOND_PERSON)
+        place = self.places.get(kind)
+        if place is None:
+            place = self.places[kind] = len(self.kinds)
+            self.kinds.append(kind)
+        self[word] = place
+        return place
+
+
+def features(text: str | None, marks: Marks) -> list[float]:
+    """FEATURES of one whole text."""
     text = text or ""
     words = WORD.findall(text.lower())
     n, chars = max(len(words), 1), max(len(text), 1)
-    insults = sum(w in INSULTS for w in words)
-    known: dict[str, float] = {}
-    hits, peak = [], 0.0
-    for at, word in enumerate(words):
-        weight = known.get(word)
-        if weight is None:
-            weight = known[word] = max((weights[k] for k in lexicon_keys(word) if k in weights), default=0.0)
-        if weight > 0:
-            hits.append(at)
-            peak = max(peak, weight)
-    second = sum(w in SECOND_PERSON for w in words)
-    near = sum(any(w in SECOND_PERSON for w in words[max(0, at - NEAR) : at + NEAR + 1]) for at in hits) if second else 0
+    places = np.fromiter(map(marks.__getitem__, words), np.int32, len(words))
+    at = np.flatnonzero(places)
+    kinds = [marks.kinds[p] for p in places[at].tolist()]
+    insults = sum(insult for _, insult, _ in kinds)
+    hits = [i for i, (weight, _, _) in zip(at.tolist(), kinds, strict=True) if weight > 0]
+    peak = max((weight for weight, _, _ in kinds), default=0.0)
+    second = np.array([i for i, (_, _, you) in zip(at.tolist(), kinds, strict=True) if you], np.int64)
+    close = np.searchsorted(second, np.array(hits, np.int64) + NEAR, "right") > np.searchsorted(second, np.array(hits, np.int64) - NEAR)
     return [
         math.log1p(len(words)), insults / n, float(insults), len(hits) / n, float(len(hits)), peak,
-        float(near), second / n, len(CAPITAL.findall(text)) / chars, len(SHOUTED.findall(text)) / n,
+        float(close.sum()), len(second) / n, len(CAPITAL.findall(text)) / chars, len(SHOUTED.findall(text)) / n,
         text.count("!") / chars, len(PUNCTUATION.findall(text)) / chars, len(OBFUSCATED.findall(text)) / n,
     ]
 
@@ -122,8 +145,10 @@ class ToxicityModel:
     trees: Trees
     calibration: Isotonic
 
-    def score(self, texts) -> np.ndarray:
-        x = np.array([features(t, self.lexicon) for t in texts], dtype=float).reshape(-1, len(FEATURES))
+    def score(self, texts, marks: Marks | None = None) -> np.ndarray:
+        """Scores of whole texts; marks: those of self.lexicon, to be used again for the next texts."""
+        marks = Marks(self.lexicon) if marks is None else marks
+        x = np.array([features(t, marks) for t in texts], dtype=float).reshape(-1, len(FEATURES))
         return np.clip(self.calibration(self.trees.margin(x)), 0.0, 1.0)
 
 
@@ -139,8 +164,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     lexicon = fit_lexicon(sampled(rows.filter("fold in (1, 2)"), max_labelled).select("text", "toxic"))
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        marks = Marks(lexicon)
         for b in batches:
-            x = np.array([features(t, lexicon) for t in b["text"]], dtype=float).reshape(-1, len(FEATURES))
+            x = np.array([features(t, marks) for t in b["text"]], dtype=float).reshape(-1, len(FEATURES))
             yield pd.DataFrame({"doc_id": b["doc_id"], "fold": b["fold"], "toxic": b["toxic"], **dict(zip(FEATURES, x.T, strict=True))})
 
     schema = "doc_id long, fold int, toxic int, " + ", ".join(f"{f} double" for f in FEATURES)
@@ -160,8 +186,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5
     """docs with toxicity double and toxic_predicted int (1 if toxicity >= threshold)."""
 
     @F.pandas_udf(T.DoubleType())
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(texts))
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        marks = Marks(model.lexicon)
+        for texts in batches:
+            yield pd.Series(model.score(texts, marks))
 
     return docs.withColumn("toxicity", scored("text")).withColumn("toxic_predicted", (F.col("toxicity") >= threshold).cast("int"))
 
