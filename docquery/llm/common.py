@@ -74,3 +74,17 @@ def sampled(df: DataFrame, bound: int, key: str = "doc_id", seed: int = 7) -> Da
         return df
     share = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_003)) / F.lit(1_000_003.0)
     return df.filter(share < bound / n)
+
+
+def held(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels (one narrow row per doc_id) whose doc_id is in docs. Ids alone are shuffled, no texts."""
+    return labels.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+def fetched(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """The rows of docs that picked names, with its columns, stored.
+
+    picked comes from `sampled`, so it is small enough to broadcast at any size of docs: one
+    scan finds its rows where they lie.
+    """
+    return stored(docs.join(F.broadcast(picked), "doc_id"))

@@ -6,9 +6,10 @@ isotonic map. Whole texts are then scored in one pass with no shuffle.
 
 Defined results: a null text counts as empty; an empty text gets the score that the trees give
 to all-zero features; rows are kept one for one, repeated rows included; a label row with a
-null doc_id or label is not used; where the folds for the trees hold one class only, or none,
-nothing can be told apart, and every score is the same and under 0.5. Columns of the input other than doc_id and text are
-passed through by `score_toxicity` and may have any name except the three that it adds.
+null doc_id or label is not used; of rows that repeat a labelled doc_id, one is used for the
+trees; where the folds for the trees hold one class only, or none, nothing can be told apart,
+and every score is the same and under 0.5. Columns of the input other than doc_id and text are
+passed through by `score_toxicity` and may have any name except the two that it adds.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docquery.llm.common import fold, sampled, table
+from docquery.llm.common import fetched, fold, held, sampled, stored, table
 from docquery.llm.gbt import Isotonic, Trees, fit_isotonic, fit_trees
 
 #: Insults that count before any label is seen.
@@ -160,8 +161,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     that its trees did not; the final trees take both folds.
     """
     truth = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", "text", fold().alias("fold")).filter("fold != 0").join(truth, "doc_id")
-    lexicon = fit_lexicon(sampled(rows.filter("fold in (1, 2)"), max_labelled).select("text", "toxic"))
+    known = stored(held(docs, truth).withColumn("fold", fold()).filter("fold != 0"))
+    picked = sampled(known.filter("fold in (1, 2)"), max_labelled).union(sampled(known.filter("fold in (3, 4)"), max_labelled))
+    rows = fetched(docs.select("doc_id", "text"), picked)
+    lexicon = fit_lexicon(rows.filter("fold in (1, 2)").select("text", "toxic"))
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         marks = Marks(lexicon)
@@ -170,7 +173,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
             yield pd.DataFrame({"doc_id": b["doc_id"], "fold": b["fold"], "toxic": b["toxic"], **dict(zip(FEATURES, x.T, strict=True))})
 
     schema = "doc_id long, fold int, toxic int, " + ", ".join(f"{f} double" for f in FEATURES)
-    got = sampled(rows.filter("fold in (3, 4)"), max_labelled).mapInPandas(measured, schema).toPandas()
+    found = rows.filter("fold in (3, 4)").mapInPandas(measured, schema)
+    least = F.min(F.struct("fold", "toxic", *FEATURES)).alias("row")
+    got = found.groupBy("doc_id").agg(least).select("doc_id", "row.*").toPandas()
     got = got.sort_values(["doc_id", *FEATURES], kind="stable")
     x, y, half = got[list(FEATURES)].to_numpy(float), got["toxic"].to_numpy(float), got["fold"].to_numpy() == 3
     if not len(y) or y.min() == y.max():
