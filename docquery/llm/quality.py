@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquery.llm.common import sampled, table
+from docquery.llm.common import fetched, held, sampled, stored, table
 from docquery.llm.gbt import Trees, fit_trees
 
 MIN_WORDS = 50
@@ -107,8 +107,9 @@ def measured(docs: DataFrame, extra: str = "") -> DataFrame:
 def fit_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Trees:
     """Trees for the chance of good quality, from about max_labelled labelled rows."""
     truth = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = sampled(docs.select("doc_id", "text").join(truth, "doc_id"), max_labelled)
-    got = measured(rows, "quality int").toPandas().sort_values(["doc_id", *FEATURES], kind="stable")
+    rows = fetched(docs.select("doc_id", "text"), sampled(stored(held(docs, truth)), max_labelled))
+    least = F.min(F.struct("quality", *FEATURES)).alias("row")
+    got = measured(rows, "quality int").groupBy("doc_id").agg(least).select("doc_id", "row.*").toPandas().sort_values(["doc_id", *FEATURES], kind="stable")
     signs = {FEATURES.index(name): sign for name, sign in MONOTONE.items()}
     return fit_trees(got[list(FEATURES)].to_numpy(float), got["quality"].to_numpy(float), trees=80, depth=3, monotone=signs)
 
