@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from docquery.errors import QueryError
@@ -112,7 +112,7 @@ class Find:
     def condition(self) -> Column:
         """The rows wanted. Keys of $id widen those of key(), keys() and keyLike(); all else narrows."""
         keys: list[Column] = []
-        if self.key_list is not None and len(self.key_list) <= MAX_LITERAL_KEYS:
+        if self.key_list is not None:
             keys.append(F.col("key").isin(*self.key_list))
         if self.like:
             pattern, escape = self.like
@@ -161,14 +161,21 @@ class Find:
         paged = self.n_skip is not None or self.n_limit is not None
         return [*out, F.col("key").asc()] if paged and self.by_key else out
 
+    def many_keys(self, spark: SparkSession) -> tuple[DataFrame, Find] | None:
+        """Where there are too many keys for literals: the distinct keys, $id's included, to be joined, and a find of all else."""
+        if self.key_list is None or len(self.key_list) <= MAX_LITERAL_KEYS:
+            return None
+        named = {*self.key_list, *(self.query.ids or () if self.query else ())}
+        rest = replace(self, key_list=None, query=replace(self.query, ids=None) if self.query else None)
+        return spark.createDataFrame([(k,) for k in sorted(named)], "key string"), rest
+
     def matching(self) -> DataFrame:
         docs = self.docs
         for h in self.hints:
             docs = docs.hint(h)
-        if self.key_list is not None and len(self.key_list) > MAX_LITERAL_KEYS:
-            wanted = docs.sparkSession.createDataFrame([(k,) for k in {*self.key_list, *(self.query.ids or () if self.query else ())}], "key string")
-            docs = docs.join(wanted, "key", "left_semi")
-            return docs.filter(replace(self, key_list=None, query=replace(self.query, ids=None) if self.query else None).condition)
+        if many := self.many_keys(docs.sparkSession):
+            wanted, rest = many
+            return docs.join(wanted, "key", "left_semi").filter(rest.condition)
         return docs.filter(self.condition)
 
     def frame(self) -> DataFrame:

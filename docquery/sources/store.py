@@ -267,11 +267,18 @@ class Collection:
         self._writable()
         self.commit(self.manifest(), [])
 
-    def rewrite(self, wanted: Column, content: Column | None) -> int:
+    def rewrite(self, wanted: Find, content: Column | None) -> int:
         """Replace the contents of wanted rows, or drop them if content is None; how many rows that was."""
         self._writable()
         base = self.manifest()
-        rows = self.frame(base["snapshot"] if base["folders"] else None).withColumn("_hit", F.coalesce(wanted, F.lit(False)))
+        rows = self.frame(base["snapshot"] if base["folders"] else None)
+        if many := wanted.many_keys(self.spark):
+            named, wanted = many
+            rows = rows.join(named.withColumn("_named", F.lit(True)), "key", "left")
+            hit = F.col("_named").isNotNull() & wanted.condition
+        else:
+            hit = wanted.condition
+        rows = rows.withColumn("_hit", F.coalesce(hit, F.lit(False)))
         if content is None:
             n = rows.filter("_hit").count()
             if n:
@@ -308,8 +315,8 @@ class Stored(Find):
 
     collection: Collection | None = None
 
-    def _wanted(self) -> Column:
-        return replace(self, start=None).condition
+    def _wanted(self) -> Find:
+        return replace(self, start=None)
 
     def _one(self) -> None:
         if not self.key_list or len(self.key_list) != 1:

@@ -63,3 +63,15 @@ def test_embedded_and_sequence_keys(db):
     s.insert([{"a": 1}])
     s.find().replace({"a": 5})
     assert s.find().get_one().version == "2"
+
+
+def test_writes_with_more_keys_than_literals(db):
+    c = db.create("c", Descriptor("client"))
+    c.insert([(f"k{i}", {"d": i}) for i in range(1_105)])
+    many = [f"k{i}" for i in range(1_001)]
+    assert c.find().keys(many).filter({"d": {"$lt": 3}}).replace({"d": -1}) == 3
+    assert c.find().keys(many).merge({"m": 1}) == 1_001
+    assert c.find().keys(many).patch([{"op": "add", "path": "/p", "value": 1}]) == 1_001
+    assert c.find().filter({"m": 1, "p": 1}).count() == 1_001 and c.find_one("k1001").content == '{"d": 1001}'
+    assert c.find().keys([*many, "k0", "none"]).filter({"$id": ["k1004"]}).remove() == 1_002
+    assert keys(c.find().frame()) == sorted(f"k{i}" for i in range(1_001, 1_105) if i != 1_004)
