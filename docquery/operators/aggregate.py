@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquery.errors import QueryError
@@ -10,6 +10,9 @@ from docquery.functions.values import canonical_text, get, kind, sort_key
 from docquery.plans.lower import items_at, opened
 from docquery.plans.paths import Subscripts, parse_path
 
+#: Levels of containers that a data guide opens before it looks for more.
+STEPS = 8
+
 
 def _values(docs: DataFrame, path: str) -> DataFrame:
     steps = parse_path(path)
@@ -42,15 +45,39 @@ def merged_type(docs: DataFrame) -> DataFrame:
     return docs.agg(F.schema_of_variant_agg("doc").alias("schema"))
 
 
-def data_guide(docs: DataFrame, depth: int = 8) -> DataFrame:
-    """(path, kind, n, max_length) of every field path down to a depth, arrays opened: one pass, one partial aggregate."""
-    level = docs.select(F.lit("$").alias("path"), F.col("doc").alias("item"))
+def _children(item: Column) -> Column:
+    """The fields of an object under their paths, or the elements of an array under its own."""
+    place = lambda path, level, x, field: F.struct(path.alias("path"), level.alias("level"), x.alias("item"), F.lit(field).alias("field"))
+    fields = F.transform(F.map_entries(get(item["item"], "map<string,variant>")), lambda e: place(F.concat_ws(".", item["path"], e["key"]), item["level"] + 1, e["value"], True))
+    elements = F.transform(get(item["item"], "array<variant>"), lambda x: place(item["path"], item["level"], x, False))
+    return F.coalesce(fields, elements)
+
+
+def data_guide(docs: DataFrame, depth: int | None = None) -> DataFrame:
+    """(path, kind, n, max_length) of every field path, or of those down to a depth of fields; arrays of any nesting opened.
+
+    Containers are opened STEPS levels at a time within the rows, until none is left; only a look whether
+    any is runs at once.
+    """
+
+    def inner(x: Column) -> Column:
+        within = kind(x["item"]).isin("array", "object")
+        return within if depth is None else within & (x["level"] < depth)
+
+    def fact(x: Column) -> Column:
+        length = F.length(F.when(kind(x["item"]) == "string", get(x["item"], "string")))
+        return F.struct(x["path"].alias("path"), kind(x["item"]).alias("kind"), length.alias("length"))
+
+    first = F.struct(F.lit("$").alias("path"), F.lit(0).alias("level"), F.col("doc").alias("item"), F.lit(False).alias("field"))
+    level = docs.select(F.filter(F.array(first), inner).alias("open"))
     found = None
-    for _ in range(depth):
-        fields = level.select("path", F.explode(opened(F.array("item"))).alias("item")).select("path", F.explode(get(F.col("item"), "map<string,variant>")).alias("name", "item"))
-        level = fields.select(F.concat_ws(".", "path", "name").alias("path"), "item")
-        text = F.length(F.when(kind(F.col("item")) == "string", get(F.col("item"), "string")))
-        part = level.groupBy("path", kind(F.col("item")).alias("kind")).agg(F.count("*").alias("n"), F.max(text).alias("max_length"))
+    while True:
+        level = level.withColumn("seen", F.array().cast("array<struct<path:string,kind:string,length:int>>"))
+        for _ in range(STEPS):
+            level = level.select("seen", F.flatten(F.transform("open", _children)).alias("next"))
+            level = level.select(F.concat("seen", F.transform(F.filter("next", lambda x: x["field"]), fact)).alias("seen"), F.filter("next", inner).alias("open"))
+        part = level.select(F.explode("seen").alias("fact")).select("fact.*")
         found = part if found is None else found.union(part)
-        level = level.filter(kind(F.col("item")).isin("array", "object"))
-    return found
+        level = level.filter(F.size("open") > 0).select("open")
+        if level.isEmpty():
+            return found.groupBy("path", "kind").agg(F.count("*").alias("n"), F.max("length").alias("max_length"))
