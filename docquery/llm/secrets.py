@@ -4,7 +4,7 @@ DataFrame functions only; regular expressions run in the JVM, and only on texts
 guard lets through. Offsets are code points of the whole text.
 
 The battery takes runs of 20 or more characters of the base-64 alphabets, infers their encoding
-(hex, base 32, letters and digits, base 64) and tests them against a uniform alphabet: the
+(hex, base 32 and base 36 in either case, letters and digits, base 64) and tests them against a uniform alphabet: the
 chi-squared statistic of the symbol counts, the number of runs above and below the middle of
 the alphabet, and the correlation of neighbouring symbols. A run that fails one of them at
 1 in 1,000 is no secret. For the others the question is turned round: how likely would ordinary
@@ -45,6 +45,9 @@ DEVIATE = 3.29
 ALPHABETS = {
     "hex": ("0123456789abcdef", 0.125),
     "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.06),
+    "lower32": ("abcdefghijklmnopqrstuvwxyz234567", 0.06),
+    "base36": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 0.06),
+    "lower36": ("abcdefghijklmnopqrstuvwxyz0123456789", 0.06),
     "alnum": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 0.06),
     "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 0.06),
 }
@@ -92,51 +95,75 @@ def encoding_of(value: Column) -> Column:
         F.when(value.rlike(r"^[0-9]+$|^[a-z_/=-]+$|^[A-Z_/=-]+$"), None)
         .when(value.rlike(r"^[0-9a-f]+$|^[0-9A-F]+$"), "hex")
         .when(value.rlike(r"^[A-Z2-7]+$"), "base32")
+        .when(value.rlike(r"^[a-z2-7]+$"), "lower32")
+        .when(value.rlike(r"^[A-Z0-9]+$"), "base36")
+        .when(value.rlike(r"^[a-z0-9]+$"), "lower36")
         .when(value.rlike(r"^[A-Za-z0-9]+$"), "alnum")
         .otherwise("base64")
     )
 
 
+def step(x: Column, use) -> Column:
+    """use of a struct that is worked out once; named columns would be worked out again at each use in a lambda."""
+    return F.transform(F.array(x), use)[0]
+
+
 def battery(run: Column) -> Column:
     """Struct (start, stop, length, random, p) of a run (start, value).
 
     random: no test of the battery fails. p: chance that text of this length and encoding has a
     chi-squared statistic as small.
     """
-    bare = F.rtrim(F.translate(run["value"], "-_=", "+/ "))
-    encoding = encoding_of(bare)
-    value = F.when(encoding == "hex", F.lower(bare)).otherwise(bare)
-    n = F.length(value)
-    pick = lambda f: F.coalesce(*(F.when(encoding == name, f(*spec)) for name, spec in ALPHABETS.items()))
-    size = pick(lambda alphabet, _: F.lit(float(len(alphabet))))
-    excess = pick(lambda alphabet, ic: F.lit(len(alphabet) * ic - 1))
-    alphabet = pick(lambda alphabet, _: F.lit(alphabet))
-    bits = pick(lambda alphabet, _: F.translate(value, alphabet, "0" * (len(alphabet) // 2) + "1" * (len(alphabet) - len(alphabet) // 2)))
+    by_encoding = lambda f: F.create_map(*(F.lit(v) for name, spec in ALPHABETS.items() for v in (name, f(*spec))))
+    sizes, excesses = by_encoding(lambda alphabet, _: float(len(alphabet))), by_encoding(lambda alphabet, ic: len(alphabet) * ic - 1)
+    alphabets = by_encoding(lambda alphabet, _: alphabet)
     without = lambda text, part: F.length(F.replace(text, part, F.lit("")))
-    symbols = F.split(value, "")
-    squares = F.aggregate(F.array_distinct(symbols), F.lit(0.0), lambda s, c: s + F.pow((n - without(value, c)).cast("double"), 2.0))
-    chi = size / n * squares - n
-    free = size - 1
-    z_chi = (F.cbrt(chi / free) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
-    ones = n - without(bits, F.lit("1"))
-    turns = (n - without(bits, F.lit("01"))) / 2 + (n - without(bits, F.lit("10"))) / 2
-    mean = 2.0 * ones * (n - ones) / n + 1
-    z_runs = F.when(mean <= 2, F.lit(99.0)).otherwise((turns + 1 - mean) / F.sqrt((mean - 1) * (mean - 2) / (n - 1)))
-    numbers = F.transform(symbols, lambda c: F.instr(alphabet, c).cast("double"))
-    middle = F.aggregate(numbers, F.lit(0.0), lambda s, x: s + x) / n
-    spread = F.aggregate(numbers, F.lit(0.0), lambda s, x: s + (x - middle) * (x - middle))
-    beside = F.zip_with(F.slice(numbers, 1, n - 1), F.slice(numbers, 2, n - 1), lambda x, y: (x - middle) * (y - middle))
-    z_serial = F.when(spread > 0, F.aggregate(beside, F.lit(0.0), lambda s, x: s + x) / spread * F.sqrt(n)).otherwise(99.0)
-    noncentral = n * excess
-    z_text = (chi - free - noncentral) / F.sqrt(2 * (free + 2 * noncentral))
-    random = encoding.isNotNull() & (n >= LENGTHS[0]) & (z_chi <= DEVIATE) & (F.abs(z_runs) <= DEVIATE) & (F.abs(z_serial) <= DEVIATE)
-    return F.struct(
-        run["start"].alias("start"),
-        (run["start"] + F.length(run["value"])).alias("stop"),
-        n.alias("length"),
-        F.coalesce(random, F.lit(False)).alias("random"),
-        F.coalesce(upper_tail(-z_text), F.lit(1.0)).alias("p"),
-    )
+
+    def coded(x: Column) -> Column:
+        encoding, value = x["encoding"], F.when(x["encoding"] == "hex", F.lower(x["bare"])).otherwise(x["bare"])
+        return F.struct(value.alias("value"), F.length(value).alias("n"), sizes[encoding].alias("size"), excesses[encoding].alias("excess"), alphabets[encoding].alias("alphabet"))
+
+    def split(x: Column) -> Column:
+        symbols = F.when(x["size"].isNotNull(), F.split(x["value"], ""))
+        numbers = F.transform(symbols, lambda c: F.instr(x["alphabet"], c).cast("double"))
+        squares = F.aggregate(F.array_distinct(symbols), F.lit(0.0), lambda s, c: s + F.pow((x["n"] - without(x["value"], c)).cast("double"), 2.0))
+        return F.struct(x["n"].alias("n"), x["size"].alias("size"), x["excess"].alias("excess"), squares.alias("squares"), numbers.alias("numbers"))
+
+    def centred(x: Column) -> Column:
+        middle = F.aggregate(x["numbers"], F.lit(0.0), lambda s, v: s + v) / x["n"]
+        bits = F.array_join(F.transform(x["numbers"], lambda v: F.when(v == 0, " ").when(v <= F.floor(x["size"] / 2), "0").otherwise("1")), "")
+        return x.withField("middle", middle).withField("bits", bits)
+
+    def summed(x: Column) -> Column:
+        n, middle, bits = x["n"], x["middle"], x["bits"]
+        spread = F.aggregate(x["numbers"], F.lit(0.0), lambda s, v: s + (v - middle) * (v - middle))
+        beside = F.zip_with(F.slice(x["numbers"], 1, n - 1), F.slice(x["numbers"], 2, n - 1), lambda v, w: (v - middle) * (w - middle))
+        ones = n - without(bits, F.lit("1"))
+        turns = (n - without(bits, F.lit("01"))) / 2 + (n - without(bits, F.lit("10"))) / 2
+        return F.struct(
+            n.alias("n"), (x["size"] - 1).alias("free"), (x["size"] / n * x["squares"] - n).alias("chi"), (n * x["excess"]).alias("noncentral"), turns.alias("turns"),
+            (2.0 * ones * (n - ones) / n + 1).alias("mean"), spread.alias("spread"), F.aggregate(beside, F.lit(0.0), lambda s, v: s + v).alias("serial"),
+        )
+
+    def judged(x: Column) -> Column:
+        n, free, chi, mean = x["n"], x["free"], x["chi"], x["mean"]
+        z_chi = (F.cbrt(chi / free) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
+        z_runs = F.when(mean <= 2, F.lit(99.0)).otherwise((x["turns"] + 1 - mean) / F.sqrt((mean - 1) * (mean - 2) / (n - 1)))
+        z_serial = F.when(x["spread"] > 0, x["serial"] / x["spread"] * F.sqrt(n)).otherwise(99.0)
+        z_text = (chi - free - x["noncentral"]) / F.sqrt(2 * (free + 2 * x["noncentral"]))
+        random = (n >= LENGTHS[0]) & (z_chi <= DEVIATE) & (F.abs(z_runs) <= DEVIATE) & (F.abs(z_serial) <= DEVIATE)
+        return F.struct(
+            run["start"].alias("start"),
+            (run["start"] + F.length(run["value"])).alias("stop"),
+            n.alias("length"),
+            F.coalesce(random, F.lit(False)).alias("random"),
+            F.coalesce(upper_tail(-z_text), F.lit(1.0)).alias("p"),
+        )
+
+    out = F.struct(F.rtrim(F.translate(run["value"], "-_=", "+/ ")).alias("bare"))
+    for use in (lambda x: F.struct(x["bare"].alias("bare"), encoding_of(x["bare"]).alias("encoding")), coded, split, centred, summed, judged):
+        out = step(out, use)
+    return out
 
 
 def with_candidates(docs: DataFrame) -> DataFrame:

@@ -216,3 +216,20 @@ def test_near_duplicates_of_the_pipeline_keep_one(spark, odd):
     assert kept.columns == odd.columns
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [1, 4, 6, 8, 10] and ids.count(None) == 2
+
+
+def test_random_runs_of_every_alphabet(spark):
+    """Uniform runs pass the battery at every length; those long enough to be told from text are reported."""
+    rng = random.Random(11)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = [lower + digits, upper + digits, lower + "234567", upper + "234567", lower + upper + digits, lower + upper + digits + "+/"]
+    cases = [(a, n) for a in range(len(alphabets)) for n in (20, 32, 64, 100, 128, 256)]
+    rows = [(k, "key " + "".join(rng.choices(alphabets[a], k=n)) + " end") for k, (a, n) in enumerate(cases) for _ in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    passed, found = defaultdict(int), defaultdict(int)
+    for r in secrets.with_candidates(docs).select("doc_id", F.exists("_secret_runs", lambda x: x["random"]).alias("random")).collect():
+        passed[r.doc_id] += r.random
+    for r in secrets.find_secrets(docs).collect():
+        found[r.doc_id] += len(r.spans) > 0
+    assert all(passed[k] >= 17 for k in range(len(cases))), {cases[k]: n for k, n in passed.items()}
+    assert all(found[k] >= 17 for k, (_, n) in enumerate(cases) if n >= 100), {cases[k]: n for k, n in found.items()}
