@@ -42,21 +42,34 @@ from docquery.llm.common import stored, table
 SHINGLE = 3
 SEED = 42
 RADIUS = 3
+#: The pipeline's stage: words of a shingle, and the Jaccard similarity of shingle sets that makes near copies.
+STAGE_SHINGLE, SIMILAR = 5, 0.8
+#: Bands of minima that find its pairs: one of similarity 0.8 shares none with a chance of (1 - 0.8 ** ROWS) ** BANDS, 0.0007.
+BANDS, ROWS = 24, 6
+#: Bands from whose buckets each set takes the least member to be held against before pairs are made.
+HEADS = 6
 #: Fixed value: the generator polynomial x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 of the Golay code.
 GENERATOR = 0b101011100011
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """64-bit SimHash of the word shingles (repeats included) of one whole text, as an unsigned int."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """64-bit hashes of the word shingles (repeats included) of one whole text; a shorter text is one shingle."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z change, only ASCII white space splits
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     width = min(shingle, len(words))
     starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - width + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)], dtype="<u8")
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)], dtype="<u8")
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """64-bit SimHash of the word shingles (repeats included) of one whole text, as an unsigned int."""
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -215,13 +228,116 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@cache
+def mixers() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(SEED)
+    draw = lambda: rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+    return draw(), draw() << np.uint64(1) | np.uint64(1)
+
+
+def bands_of(shingles: np.ndarray) -> np.ndarray:
+    """One key (int64) per band of a set of shingle hashes: the hash of the band's minima under as many mixings."""
+    add, times = mixers()
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(shingles), 4096):
+        mixed = (shingles[i : i + 4096, None] ^ add) * times
+        low = np.minimum(low, (mixed ^ (mixed >> np.uint64(32))).min(axis=0))
+    return np.array([xxhash.xxh64_intdigest(b.tobytes(), k) for k, b in enumerate(low.reshape(BANDS, ROWS))], np.uint64).view(np.int64)
+
+
+def set_id(shingles: np.ndarray) -> int:
+    """Id of a set of sorted hashes, signed; 0 for the empty set."""
+    return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).view(np.int64)) if len(shingles) else 0
+
+
+def banded(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, bands) of docs (doc_id, text): the id of the set of shingles and its band keys."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids, bands = [], []
+            for t in batch["text"]:
+                own = np.unique(shingle_hashes(t, STAGE_SHINGLE))
+                ids.append(set_id(own))
+                bands.append(bands_of(own) if len(own) else [])
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": np.array(ids, np.int64), "bands": bands})
+
+    out = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    return docs.select("doc_id", "text").mapInPandas(run, out)
+
+
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """(fp, shingles) of docs (text): the sorted sets of 64-bit hashes, handed on a few at a time."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                sets = [np.unique(shingle_hashes(t, STAGE_SHINGLE)) for t in batch["text"][at : at + 256]]
+                yield pd.DataFrame({"fp": np.array([set_id(x) for x in sets], np.int64), "shingles": [x.tobytes() for x in sets]})
+
+    return docs.select("text").mapInPandas(run, "fp long, shingles binary")
+
+
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets (fp, shingles) have a Jaccard similarity of SIMILAR or more, exactly."""
+
+    @F.pandas_udf(T.BooleanType())
+    def near(left: pd.Series, right: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(left, right, strict=True):
+            n = (len(x) + len(y)) // 8
+            if min(len(x), len(y)) < SIMILAR * max(len(x), len(y)) - 1e-6:
+                out.append(False)
+                continue
+            common = len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True))
+            out.append(common >= SIMILAR * (n - common) - 1e-9)
+        return pd.Series(out, dtype=bool)
+
+    left = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("_a"))
+    right = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("_b"))
+    return pairs.join(left, "a").join(right, "b").filter(near("_a", "_b")).select("a", "b")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(fp, root, component_id) of every set of shingles in docs (doc_id, text): the components of pairs of SIMILAR or more.
+
+    Pairs that share a band are checked exactly. Each set is first held against the least member
+    of its buckets in a few bands, so that a large group of near copies needs pairs only where it
+    isn't one component yet. Sets are made again where they are needed, so that they needn't be kept.
+    """
+    rows = stored(banded(docs))
+    keyed = rows.filter("fp != 0").select("fp", F.posexplode("bands").alias("band", "key")).distinct()
+    buckets = keyed.groupBy("band", "key").agg(F.min("fp").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    shared = stored(keyed.join(buckets, ["band", "key"]))
+    sets = stored(shingle_sets(docs).join(shared.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]))
+    first = shared.filter((F.col("band") < HEADS) & (F.col("fp") != F.col("head"))).groupBy(F.col("fp").alias("b")).agg(F.min("head").alias("a")).select("a", "b")
+    first = stored(similar(first, sets))
+    known = components(first).withColumnRenamed("node", "fp")
+    placed = shared.select("band", "key", "fp").join(known, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    mixed = placed.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("band", "key")
+    placed = stored(placed.join(mixed, ["band", "key"]))
+    a, b = (placed.select("band", "key", F.col("fp").alias(n), F.col("root").alias(f"_{n}")) for n in "ab")
+    rest = a.join(b, ["band", "key"]).filter("a < b and _a != _b").select("a", "b").distinct()
+    root = components(first.union(similar(rest, sets))).withColumnRenamed("node", "fp")
+    grouped = rows.groupBy("fp").agg(F.min("doc_id").alias("low_id")).join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    lows = grouped.groupBy("root").agg(F.min("low_id").alias("component_id"))
+    return stored(grouped.join(lows, "root").select("fp", "root", "component_id"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the row with the smallest doc_id stays, unchanged.
+    """Pipeline stage: of each component of near copies the row with the smallest doc_id stays, unchanged.
 
-    Of rows that repeat that doc_id, one stays. Rows without a doc_id can't be told apart; of
-    them one for each text stays.
+    Near copies have sets of five-word shingles with a Jaccard similarity of 0.8 or more. Of rows
+    that repeat the smallest doc_id, one stays. Of a component without any doc_id one row stays,
+    and of those rows without doc_id or words one for each text.
     """
-    found = near_duplicates(docs)
-    keep = found.filter("doc_id = component_id").select("doc_id").distinct()
-    known = docs.join(keep, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return known.union(docs.filter("doc_id is null").dropDuplicates(["text"]))
+    found = near_copies(docs)
+    known = docs.join(found.select(F.col("component_id").alias("doc_id")).distinct(), "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+
+    @F.pandas_udf(T.LongType())
+    def set_ids(texts: pd.Series) -> pd.Series:
+        return pd.Series([set_id(np.unique(shingle_hashes(t, STAGE_SHINGLE))) for t in texts], dtype="int64")
+
+    unnamed = docs.filter("doc_id is null").withColumn("_fp", set_ids("text"))
+    alone = unnamed.join(found.filter("component_id is null").select(F.col("fp").alias("_fp"), "root"), "_fp").filter("_fp != 0").dropDuplicates(["root"])
+    return known.union(alone.select(*docs.columns)).union(unnamed.filter("_fp = 0").select(*docs.columns).dropDuplicates(["text"]))

@@ -233,3 +233,28 @@ def test_random_runs_of_every_alphabet(spark):
         found[r.doc_id] += len(r.spans) > 0
     assert all(passed[k] >= 17 for k in range(len(cases))), {cases[k]: n for k, n in passed.items()}
     assert all(found[k] >= 17 for k, (_, n) in enumerate(cases) if n >= 100), {cases[k]: n for k, n in found.items()}
+
+
+def test_near_copies_of_the_pipeline_by_brute_force(spark):
+    rng = random.Random(12)
+    word = lambda: "w" + str(rng.randrange(10**9))
+    rows = []
+    for k in range(60):
+        base = [word() for _ in range(100)]
+        rows.append((3 * k, " ".join(base)))
+        for n, key in ((1, 3 * k + 1), (rng.choice([2, 3, 6]), 3 * k + 2 if k % 2 else None)):
+            other = list(base)
+            for at in rng.sample(range(100), n):
+                other[at] = word()
+            rows.append((key, " ".join(other)))
+    rows += [(None, a) for a in ("x y z", "X y  z", "x y q")]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for _, t in rows)]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                root = [root[j] if r == root[i] else r for r in root]
+    want = [min((r[0] for r, x in zip(rows, root, strict=True) if x == k and r[0] is not None), default=None) for k in set(root)]
+    kept = [r.doc_id for r in simhash.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
+    order = lambda ids: sorted(ids, key=lambda i: (i is None, i))
+    assert order(kept) == order(want)
