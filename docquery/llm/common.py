@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zlib
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,19 +29,75 @@ def fold_of(doc_id) -> int:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % FOLDS
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df written to the checkpoint folder all executors share, its lineage cut.
+def column(name: str) -> Column:
+    """The column of that very name, dots and backquotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of df by their names, whatever these hold."""
+    return [column(c) for c in df.columns]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be none of df's (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def guarded(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df with every column that `used` doesn't name renamed other_0, other_1 …, and what brings back all names and their order."""
+    names = {c: c if c in used else f"other_{k}" for k, c in enumerate(df.columns)}
+    renamed = df.select(*(column(c).alias(n) for c, n in names.items()))
+    return renamed, lambda out: out.select(*(F.col(n).alias(c) for c, n in names.items()))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that all executors share: the session's spark.checkpoint.dir.
 
-    The folder is the session's spark.checkpoint.dir; only where none is set (tests, a
-    notebook) is a local one made.
+    Where none is set, a local session (tests, a notebook) makes one; a cluster must set it.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
         at = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(at or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        if not at and not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(at or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder all executors share, its lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df written as Parquet to the checkpoint folder and read again: unlike `stored`, compressed, and columns are read apart."""
+    at = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def numbered(df: DataFrame, file: str, row: str) -> DataFrame:
+    """df with two columns that tell every row from any other, the same each time that the rows are read.
+
+    Rows straight from Parquet files have a place there, and nothing is written. Any other
+    frame may give its rows another order when it is worked out again, so it is stored.
+    """
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            return df.withColumns({file: F.xxhash64("_metadata.file_path"), row: F.col("_metadata.row_index")})
+        except AnalysisException:  # files of another kind
+            pass
+    return stored(df.withColumns({file: F.lit(0).cast("long"), row: F.monotonically_increasing_id()}))
+
+
 def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """df with a gapless rank from 0 in the given order, without a task that sees all rows.
 
