@@ -14,7 +14,8 @@ so a source with a third of all rows is no single task. Sources are ranked by a
 
 Defined results: null and empty texts have size 0 and are never taken; a null source is a source
 of its own and comes last; a row with a null doc_id is hashed by its text; repeated rows are rows of
-their own. With no words at all, every target is 0.
+their own, however many. With no words at all, every target is 0. Very long texts are counted whole;
+doc_id may be of any type.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docquery.llm.common import ranked, stored, table
+from docquery.llm.common import column, fresh, guarded, numbered, ranked, stored, table
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -31,6 +32,8 @@ CAP = 3
 SLOPES = (-0.5, 0.0, 0.5)
 #: Sources, at some 100 bytes each, up to which they are broadcast.
 MAX_BROADCAST_SOURCES = 20_000
+#: Rows of a file among which repeated rows are numbered at once.
+STRETCH = 8_192
 
 
 def words_in(text: str = "text") -> Column:
@@ -78,13 +81,23 @@ def targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, slopes: tuple[float, ...] = SLOPES) -> DataFrame:
-    """Per row of docs (doc_id, source, text): size, source_size, target, taken, passes, place and position.
+    """`mix_rows` of docs (doc_id, source, text)."""
+    file, row = fresh(docs, "_file", "_row")
+    rows = numbered(docs, file, row)
+    return mix_rows(rows.select(column(file).alias("_file"), column(row).alias("_row"), "doc_id", "source", "text"), weights, cap, slopes)
+
+
+def mix_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, slopes: tuple[float, ...] = SLOPES) -> DataFrame:
+    """Per row of docs (_file, _row, doc_id, source, text): size, source_size, target, taken, passes, place and position.
 
     taken is passes times size. place is the number of the source's words before the document
     in its fixed order; position is the training position, 0 to 1, of its first pass, null if
     it isn't taken. `positions` gives those of all passes.
+
+    Rows alike in source, hash and size are one group in the running sums, so that repeated rows
+    can't make a bucket large; their own places follow from their numbers in the group.
     """
-    rows = stored(docs.select("doc_id", "source", source_key().alias("skey"), words_in().alias("size"), id_hash().alias("h")))
+    rows = stored(docs.select("_file", "_row", "doc_id", "source", source_key().alias("skey"), words_in().alias("size"), id_hash().alias("h")))
     sources = targets(rows, weights, cap)
     slope = F.element_at(F.array(*map(F.lit, slopes)), (F.col("turn") % len(slopes) + 1).cast("int"))
     # the upper 32 bits of the hash choose the bucket, in the hash's own order
@@ -92,14 +105,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, slo
     # One narrow row per source: broadcast while that is small by count; beyond it, a plain join.
     shared = stored(sources.withColumn("slope", slope))
     few = F.broadcast(shared) if shared.count() <= MAX_BROADCAST_SOURCES else shared
-    dealt = rows.join(few, "skey").withColumn("bucket", F.floor(unit * F.ceil(F.sqrt("n_docs"))))
-    inside = Window.partitionBy("skey", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = dealt.withColumn("upto", F.sum("size").over(inside))
-    buckets = dealt.groupBy("skey", "bucket").agg(F.sum("size").alias("bucket_size"))
+    alike = ["skey", "h", "size"]
+    groups = rows.groupBy(*alike).agg(F.count("*").alias("copies")).join(few, "skey").withColumn("bucket", F.floor(unit * F.ceil(F.sqrt("n_docs"))))
+    words = F.col("copies") * F.col("size")
+    inside = Window.partitionBy("skey", "bucket").orderBy("h", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    dealt = groups.withColumn("upto", F.sum(words).over(inside))
+    buckets = groups.groupBy("skey", "bucket").agg(F.sum(words).alias("bucket_size"))
     before = Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.select("skey", "bucket", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("before"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    found = placed.join(offsets, ["skey", "bucket"]).withColumn("place", F.col("before") + F.col("upto") - F.col("size")).withColumn("whole", whole)
+    start = (F.col("before") + F.col("upto") - words).alias("start")
+    placed = dealt.join(offsets, ["skey", "bucket"]).select(*alike, "copies", start, "source_size", "target", "slope", whole.alias("whole"))
+    met = stored(rows.join(placed, alike))
+    again = number_in_group(met.filter("copies > 1"), alike)
+    found = met.filter("copies = 1").withColumn("number", F.lit(0).cast("long")).unionByName(again).withColumn("place", F.col("start") + F.col("number") * F.col("size"))
     left = F.col("target") - F.col("whole") * F.col("source_size")
     more = ((F.col("size") > 0) & (2 * F.col("place") + F.col("size") <= 2 * left)).cast("long")
     passes = F.when(F.col("size") > 0, F.col("whole") + more).otherwise(0)
@@ -107,10 +126,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, slo
         found.withColumn("passes", passes)
         .withColumn("taken", F.col("passes") * F.col("size"))
         .withColumn("position", F.when(F.col("passes") > 0, position(F.lit(0))))
-        .select("doc_id", "source", "size", "source_size", "target", "taken", "passes", "place", "slope", "position", "h")
+        .select("_file", "_row", "doc_id", "source", "size", "source_size", "target", "taken", "passes", "place", "slope", "position")
     )
 
 
+def number_in_group(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with their number (from 0) among those of equal keys, by doc_id's place: counted in stretches of STRETCH rows of a file, so no task sees a whole group."""
+    cut = rows.withColumn("_stretch", F.floor(F.col("_row") / STRETCH))
+    inside = Window.partitionBy(*keys, "_file", "_stretch").orderBy("_row")
+    counts = cut.groupBy(*keys, "_file", "_stretch").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_file", "_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_file", "_stretch", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    met = cut.withColumn("_in", F.row_number().over(inside) - 1).join(offsets, [*keys, "_file", "_stretch"])
+    return met.withColumn("number", F.col("_before") + F.col("_in")).select(*rows.columns, "number")
+
+
 def position(turn: Column) -> Column:
     """Training position of a document's pass `turn` (from 0).
 
@@ -137,17 +167,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document once for each pass that the mix takes of it, range-sorted by training position.
 
-    Rows meet their positions by id hash, source and size. Rows alike in all three (repeated
-    rows) are numbered and share the passes of their group out among themselves.
+    Rows meet their positions by their place in the input, so repeated rows and ids stay apart;
+    rows without words go, as the mix takes nothing of them. Very long texts are one row like any
+    other. Columns other than doc_id, source and text may have any name.
     """
-    keys = ["_h", "_skey", "_size"]
-    mixed = mix(docs).select(F.col("h").alias("_h"), source_key().alias("_skey"), F.col("size").alias("_size"), positions().alias("_at"))
-    plan = mixed.groupBy(keys).agg(F.flatten(F.collect_list("_at")).alias("_at"), F.count("*").alias("_rows")).filter(F.size("_at") > 0)
-    met = docs.withColumns({"_h": id_hash(), "_skey": source_key(), "_size": words_in()}).join(plan, keys)
-    lone = met.filter("_rows = 1").select(*docs.columns, F.explode("_at").alias("_position"))
-    number = F.row_number().over(Window.partitionBy(keys).orderBy("doc_id"))
-    numbered = F.transform("_at", lambda p, i: F.struct(p.alias("p"), i.alias("i")))
-    own = F.filter(numbered, lambda x: x["i"] % F.col("_rows") == F.col("_number") - 1)
-    alike = met.filter("_rows > 1").withColumn("_number", number).select(*docs.columns, F.explode(own).alias("_own"))
-    taken = lone.union(alike.select(*docs.columns, F.col("_own.p").alias("_position")))
-    return taken.repartitionByRange("_position", "doc_id").sortWithinPartitions("_position", "doc_id").select(*docs.columns)
+    file, row = fresh(docs, "_file", "_row")
+    texts = numbered(docs, file, row)
+    place = [column(file).alias("_file"), column(row).alias("_row")]
+    at = mix_rows(texts.select(*place, "doc_id", "source", "text")).select(F.col("_file").alias("_f"), F.col("_row").alias("_r"), F.explode(positions()).alias("_position"))
+    plain, back = guarded(docs, "doc_id")
+    numbered_plain = texts.select(*place, *(column(c).alias(n) for c, n in zip(docs.columns, plain.columns, strict=True)))
+    met = numbered_plain.join(at, (F.col("_file") == F.col("_f")) & (F.col("_row") == F.col("_r")))
+    return back(met.repartitionByRange("_position", "doc_id").sortWithinPartitions("_position", "doc_id"))
