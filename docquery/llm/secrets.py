@@ -16,7 +16,8 @@ of bins, each counted at its upper edge, so the control is exact or stricter.
 
 Defined results: null and empty texts have no spans; rows are kept one for one. A run that
 overlaps a span of the fixed patterns adds nothing. Matches are leftmost and don't overlap within
-a kind; the hash of no spans is that of the empty string.
+a kind; the hash of no spans is that of the empty string. Very long texts and texts with very
+many matches are searched whole. doc_id may be of any type.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docquery.llm.common import stored, table
+from docquery.llm.common import guarded, stored, table
 
 KINDS = ("assign", "access", "hex", "random")
 #: The three patterns. A match of the first counts if its second group has 12 characters.
@@ -58,19 +59,42 @@ BINS, DECADES = 20, 30
 MASK = "[secret]"
 
 
+def step(x: Column, use) -> Column:
+    """use of a struct that is worked out once; named columns would be worked out again at each use in a lambda."""
+    return F.transform(F.array(x), use)[0]
+
+
+def total(numbers: Column, first, n) -> Column:
+    """Sum of n numbers from place `first` (from 0) on."""
+    return F.aggregate(F.slice(numbers, first + 1, n), F.lit(0), lambda s, x: s + x)
+
+
 def located(text: Column, pattern: str, wanted: Column, groups: tuple[int, ...] = (0,)) -> Column:
     """Array of (start, value of each group) of the pattern's matches, empty unless wanted.
 
     Splitting at the matches gives the pieces between them; the lengths of pieces and matches
-    before one are its start.
+    before one are its start. They are added up in about sqrt(n) stretches of about sqrt(n)
+    matches first, so a text with very many matches takes n * sqrt(n) steps, not n * n.
     """
     found = [F.regexp_extract_all(text, F.lit(pattern), g) for g in groups]
     pieces = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
     lengths = F.transform(found[0], lambda x: F.length(x))
-    total = lambda a, n: F.aggregate(F.slice(a, 1, n), F.lit(0), lambda s, x: s + x)
-    zipped = F.arrays_zip(found[0].alias("value"), found[-1].alias("inner"))
-    rows = F.transform(zipped, lambda x, i: F.struct((total(pieces, i + 1) + total(lengths, i)).alias("start"), x["value"].alias("value"), x["inner"].alias("inner")))
-    return F.when(wanted, rows).otherwise(F.array().cast("array<struct<start:int,value:string,inner:string>>"))
+    with_match = F.zip_with(pieces, lengths, lambda a, b: a + F.coalesce(b, F.lit(0)))
+    wide = F.ceil(F.sqrt(F.size(found[0]) + 1)).cast("int")
+    out = F.struct(found[0].alias("value"), found[-1].alias("inner"), pieces.alias("pieces"), with_match.alias("steps"), wide.alias("wide"))
+    stretches = lambda use, x: F.transform(F.sequence(F.lit(0), x["wide"] - 1), use)
+    out = step(out, lambda x: x.withField("sums", stretches(lambda k: total(x["steps"], k * x["wide"], x["wide"]), x)))
+    out = step(out, lambda x: x.withField("before", stretches(lambda k: total(x["sums"], F.lit(0), k), x)))
+
+    def placed(x: Column) -> Column:
+        def one(pair: Column, i: Column) -> Column:
+            k = F.floor(i / x["wide"]).cast("int")
+            start = F.get(x["before"], k) + total(x["steps"], k * x["wide"], i - k * x["wide"]) + F.get(x["pieces"], i)
+            return F.struct(start.alias("start"), pair["value"].alias("value"), pair["inner"].alias("inner"))
+
+        return F.transform(F.arrays_zip(x["value"].alias("value"), x["inner"].alias("inner")), one)
+
+    return F.when(wanted, step(out, placed)).otherwise(F.array().cast("array<struct<start:int,value:string,inner:string>>"))
 
 
 def as_spans(rows: Column, kind: str) -> Column:
@@ -103,11 +127,6 @@ def encoding_of(value: Column) -> Column:
     )
 
 
-def step(x: Column, use) -> Column:
-    """use of a struct that is worked out once; named columns would be worked out again at each use in a lambda."""
-    return F.transform(F.array(x), use)[0]
-
-
 def battery(run: Column) -> Column:
     """Struct (start, stop, length, random, p) of a run (start, value).
 
@@ -253,10 +272,13 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: secrets are masked in the texts; every document stays. n_chars, where it is there, follows the text."""
-    found = with_candidates(docs)
-    least = thresholds(stored(with_candidates(docs.select("text")).select("_secret_runs").filter(F.size("_secret_runs") > 0)))
-    out = found.withColumn("_secret_spans", all_spans(least)).withColumn("text", masked(F.col("text"), F.col("_secret_spans")))
+    """Pipeline stage: secrets are masked in the texts; every row stays, repeated ones too. n_chars, where it is there, follows the text.
+
+    Null and empty texts stay as they are; whole texts are searched, however long. Other columns may have any name.
+    """
+    plain, back = guarded(docs, "text", "n_chars")
+    least = thresholds(stored(with_candidates(plain.select("text")).select("_secret_runs").filter(F.size("_secret_runs") > 0)))
+    out = with_candidates(plain).withColumn("_secret_spans", all_spans(least)).withColumn("text", masked(F.col("text"), F.col("_secret_spans")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size("_secret_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return back(out)
