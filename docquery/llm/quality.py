@@ -7,8 +7,9 @@ of documents level by level.
 
 Defined results: a null text has no words and fails the hard rules, as does an empty one; rows
 are kept one for one. If no usable label is there, the trees keep whatever the hard rules keep.
-Statistics count code points; the number of statistics per text is fixed, and memory is bounded
-by one text.
+Statistics count code points; capitals are upper-case letters of any script; the number of statistics
+per text is fixed, and memory is bounded by one text, read whole however long. doc_id may be of any
+type; other columns are left aside, so their names don't matter.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docquery.llm.common import fetched, held, sampled, stored, table
 from docquery.llm.gbt import Trees, fit_trees
@@ -34,7 +36,7 @@ MAX_BAD = 0.5
 
 #: The symbols that are counted.
 SYMBOLS = re.compile(r"[#*$%&|<>]")
-CAPITALS = re.compile(r"[^\W\d_a-zß-öø-ÿ]")
+CAPITALS = re.compile("[" + "".join(chr(c) for c in range(0x20000) if chr(c).isupper()) + "]")
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = (
@@ -100,8 +102,9 @@ def measured(docs: DataFrame, extra: str = "") -> DataFrame:
                 out[carried] = batch[carried].to_numpy()
             yield out
 
-    schema = "doc_id long, " + ", ".join(f"{x} long" for x in COUNTS) + ", " + ", ".join(f"{x} double" for x in FEATURES)
-    return docs.select("doc_id", "text", *([carried] if carried else [])).mapInPandas(run, schema + (f", {extra}" if extra else ""))
+    numbers = ", ".join([*(f"{x} long" for x in COUNTS), *(f"{x} double" for x in FEATURES), *([extra] if extra else [])])
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(numbers)])
+    return docs.select("doc_id", "text", *([carried] if carried else [])).mapInPandas(run, schema)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Trees:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docquery.llm.common import fetched, fold, held, sampled, stored, table
+from docquery.llm.common import columns, fetched, fold, held, sampled, stored, table
 from docquery.llm.gbt import Isotonic, Trees, fit_isotonic, fit_trees
 
 #: Insults that count before any label is seen.
@@ -172,7 +172,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
             x = np.array([features(t, marks) for t in b["text"]], dtype=float).reshape(-1, len(FEATURES))
             yield pd.DataFrame({"doc_id": b["doc_id"], "fold": b["fold"], "toxic": b["toxic"], **dict(zip(FEATURES, x.T, strict=True))})
 
-    schema = "doc_id long, fold int, toxic int, " + ", ".join(f"{f} double" for f in FEATURES)
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("fold int, toxic int, " + ", ".join(f"{f} double" for f in FEATURES))])
     found = rows.filter("fold in (3, 4)").mapInPandas(measured, schema)
     least = F.min(F.struct("fold", "toxic", *FEATURES)).alias("row")
     got = found.groupBy("doc_id").agg(least).select("doc_id", "row.*").toPandas()
@@ -187,8 +187,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     return ToxicityModel(lexicon, fit_trees(x, y), fit_isotonic(unseen, y))
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
-    """docs with toxicity double and toxic_predicted int (1 if toxicity >= threshold)."""
+def scorer(model: ToxicityModel):
+    """The calibrated score of a column of texts."""
 
     @F.pandas_udf(T.DoubleType())
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -196,7 +196,12 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5
         for texts in batches:
             yield pd.Series(model.score(texts, marks))
 
-    return docs.withColumn("toxicity", scored("text")).withColumn("toxic_predicted", (F.col("toxicity") >= threshold).cast("int"))
+    return scored
+
+
+def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
+    """docs with toxicity double and toxic_predicted int (1 if toxicity >= threshold); columns of these names are replaced."""
+    return docs.withColumn("toxicity", scorer(model)("text")).withColumn("toxic_predicted", (F.col("toxicity") >= threshold).cast("int"))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +211,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", held_out, F.col("toxicity").alias("score"), F.col("toxic_predicted").alias("predicted"))
 
 
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the calibrated score calls toxic go; all others stay unchanged."""
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: float = 0.5) -> DataFrame:
+    """Pipeline stage: documents that the calibrated score calls toxic go; all others stay unchanged, repeated rows and null ids included.
+
+    Null and empty texts are scored as texts without words; whole texts are read, however long.
+    Columns other than doc_id and text may have any name.
+    """
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model).filter("toxic_predicted = 0").select(*docs.columns)
+    return docs.filter(scorer(model)("text") < threshold).select(*columns(docs))
