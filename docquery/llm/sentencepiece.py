@@ -7,8 +7,8 @@ chunk before reaches into it) to the state at its end. So giant documents are cu
 of a fixed size, each gets its matrix independently of the others, the matrices of a document are
 combined by an associative scan, which gives the state at every chunk border, and each chunk is
 then backtraced by itself. Only what lies before a chunk's first and after its last cut depends
-on those states; the rest is cut into pieces beside the matrix. Giant documents are shuffled
-once, as outlines of their chunks; short documents are one chunk and not shuffled at all.
+on those states; the rest is cut into pieces beside the matrix. Chunks of a giant document are rows
+of their own, spread over all tasks; short documents are one chunk and not shuffled at all.
 
 Where no piece of the vocabulary has a word-start mark after another character, every word
 start is a single state; inner words are then independent of the rest of the chunk, and a bounded
@@ -20,7 +20,8 @@ text exactly.
 
 Defined results: null and empty texts have no pieces and decode to the empty text; rows are kept
 one for one; of segmentations with equal scores one is chosen by fixed rules (within a chunk the
-one whose last piece is longest; at a border the smallest state).
+one whose last piece is longest; at a border the smallest state). doc_id may be of any type; other
+columns are left aside, so their names don't matter. Very long texts are cut whole.
 """
 
 from __future__ import annotations
@@ -36,11 +37,12 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docquery.llm.common import table
+from docquery.llm.common import column, fresh, numbered, table, written
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a chunk; longer documents are cut.
@@ -273,17 +275,9 @@ class PieceModel:
 
     def cuts(self, body: str) -> tuple[int, int]:
         """First and last place inside a chunk that no piece reaches across; (0, 0) if there is none."""
-        if not self.words_apart:
-            return 0, 0
-        starts = re.compile(f"(?<=[^{MARK}]){MARK}")
-        first = starts.search(body)
-        if first is None:
-            return 0, 0
-        last = body.rstrip(MARK).rfind(MARK)
-        while body[last - 1] == MARK:
-            last -= 1
-        tail = len(body.rstrip(MARK))
-        return first.start(), tail if tail < len(body) else last
+        inside, n = self.inside, len(body)
+        first = next((k for k in range(1, n) if body[k - 1 : k + 1] not in inside), 0)
+        return (first, next(k for k in range(n - 1, 0, -1) if body[k - 1 : k + 1] not in inside)) if first else (0, 0)
 
     def transfer(self, body: str, ahead: str) -> np.ndarray:
         """(reach, reach) best scores from s characters into the chunk to t characters beyond it."""
@@ -320,18 +314,21 @@ class PieceModel:
         words = self.word.findall(body[first:last])
         return body[:first], self.packed(words), (body + ahead)[last:], len(body) - last
 
-    def trace(self, head: str, inner: bytes, tail: str, n_tail: int, start: int, stop: int) -> list[int]:
-        """Ids of the pieces that start in an outlined chunk, between given states at its borders."""
+    def trace(self, head: str, tail: str, n_tail: int, start: int, stop: int) -> tuple[list[int], list[int]]:
+        """Ids of an outlined chunk's pieces before and after the words between its cuts, between given states at its borders."""
         begin, out = start, []
         if head:
             n = len(head)
-            out = self.ids_between(head, self.forward(head, start, n, n)[1], start, n) + np.frombuffer(inner, np.int32).tolist()
+            out = self.ids_between(head, self.forward(head, start, n, n)[1], start, n)
             begin = 0
         end = n_tail + stop
-        return out + self.ids_between(tail, self.forward(tail, begin, n_tail, end)[1], begin, end)
+        return out, self.ids_between(tail, self.forward(tail, begin, n_tail, end)[1], begin, end)
 
     def backtrace(self, body: str, ahead: str, start: int, stop: int) -> list[int]:
-        return self.trace(*self.outline(body, ahead), start, stop)
+        """Ids of the pieces that start in a chunk."""
+        head, inner, tail, n_tail = self.outline(body, ahead)
+        before, after = self.trace(head, tail, n_tail, start, stop)
+        return [*before, *np.frombuffer(inner, np.int32).tolist(), *after]
 
 
 def load_model(path: str = MODEL_FILE) -> PieceModel:
@@ -400,13 +397,20 @@ def _plain(raw: bytes) -> str:
     return bytes(raw).decode("utf-8", "surrogatepass")
 
 
+def packed_lists(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+
+
 def encode_texts(docs: DataFrame, model: PieceModel, chunk: int = CHUNK, check: bool = False) -> DataFrame:
     """(doc_id, text_sha256, ids, round_trip) per row of docs (doc_id, text).
 
     With check, round_trip says whether the ids decode to the text; else it is null.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # one vocabulary: some MB at most
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    file, row = fresh(docs, "_file", "_row")
+    rows = numbered(docs, file, row)
+    rows = rows.select(column(file).alias("_file"), column(row).alias("_row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("text_sha256", F.sha2("text", 256))
     giant = F.length("text") > chunk
 
@@ -418,44 +422,80 @@ def encode_texts(docs: DataFrame, model: PieceModel, chunk: int = CHUNK, check:
                 texts = part.column("text").to_pylist()
                 ids = m.encode_all(texts)
                 right = [m.decode(x) == t for x, t in zip(ids, texts, strict=True)] if check else [None] * len(ids)
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "text_sha256": part.column("text_sha256"), "ids": lists, "round_trip": pa.array(right, pa.bool_())})
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "text_sha256": part.column("text_sha256"), "ids": packed_lists(ids), "round_trip": pa.array(right, pa.bool_())})
+
+    out = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("text_sha256 string, ids array<int>, round_trip boolean")])
+    small = rows.filter(~giant).drop("_file", "_row").mapInArrow(short, out)
+    return small.union(encode_giants(rows.filter(giant), shipped, chunk, check, out))
+
+
+def encode_giants(rows: DataFrame, shipped: Broadcast, chunk: int, check: bool, out: T.StructType) -> DataFrame:
+    """The same for texts of more than one chunk: rows (_file, _row, doc_id, text, text_sha256).
+
+    Chunks are dealt out over all tasks, so one text may use them all. Each gets its matrix and
+    its outline by itself; matrices alone meet by text, for the scan; the states at a chunk's borders
+    come back to it, and it traces what depends on them. Ids meet by text at the very end.
+    """
+    doc_id = rows.schema["doc_id"]
+    place = ["_file", "_row"]
 
-    def outlined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The chunks of giant texts with their matrices; row numbers a text by its place in the input, so repeated rows stay apart."""
-        m, place = shipped.value, TaskContext.get().partitionId() << 40
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shipped.value
+        for b in batches:
+            for i in range(b.num_rows):
+                own = b.slice(i, 1)
+                parts = list(chunked(m, own.column("text")[0].as_py(), chunk))
+                same = {n: pa.concat_arrays([own.column(n)] * len(parts)) for n in (*place, "doc_id", "text_sha256")}
+                bodies, aheads = (pa.array([_escaped(p[k]) for p in parts], pa.binary()) for k in (1, 2))
+                yield pa.record_batch(same | {"no": pa.array([p[0] for p in parts], pa.int32()), "body": bodies, "ahead": aheads})
+
+    def outlined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shipped.value
+        for b in batches:
+            for i in range(0, b.num_rows, 16):
+                part = b.slice(i, 16)
+                texts = [(_plain(x), _plain(y)) for x, y in zip(part.column("body").to_pylist(), part.column("ahead").to_pylist(), strict=True)]
+                matrices = [m.transfer(*t).tobytes() for t in texts]
+                head, inner, tail, n_tail = zip(*(m.outline(*t) for t in texts), strict=True)
+                yield pa.record_batch({n: part.column(n) for n in (*place, "doc_id", "text_sha256", "no")} | {
+                    "matrix": pa.array(matrices, pa.binary()), "head": pa.array(map(_escaped, head), pa.binary()), "inner": pa.array(inner, pa.binary()),
+                    "tail": pa.array(map(_escaped, tail), pa.binary()), "n_tail": pa.array(n_tail, pa.int32()),
+                })
+
+    def scanned(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        """The states at all chunk borders of one text."""
+        reach, group = shipped.value.reach, group.sort_values("no")
+        at = border_states(np.stack([np.frombuffer(x, float).reshape(reach, reach) for x in group["matrix"]]))
+        return pd.DataFrame({"_file": key[0], "_row": key[1], "no": group["no"].to_numpy(), "start": at[:-1], "stop": at[1:]})
+
+    def traced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = shipped.value
+        for b in batches:
+            found = [m.trace(_plain(r.head), _plain(r.tail), r.n_tail, r.start, r.stop) for r in b.itertuples()]
+            for part in (0, 1):
+                yield b[[*place, "no"]].assign(part=2 * part, ids=[np.array(x[part], np.int32).tobytes() for x in found])
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shipped.value
         for b in batches:
-            for doc_id, key, text in zip(b["doc_id"], b["text_sha256"], b["text"], strict=True):
-                found = []
-                for no, body, ahead in chunked(m, text, chunk):
-                    matrix = m.transfer(body, ahead).tobytes()
-                    head, inner, tail, n_tail = m.outline(body, ahead)
-                    found.append((place, key, no, matrix, _escaped(head), inner, _escaped(tail), n_tail))
-                got = pd.DataFrame(found, columns=["row", "text_sha256", "no", "matrix", "head", "inner", "tail", "n_tail"])
-                got["doc_id"] = pd.array([None if pd.isna(doc_id) else int(doc_id)] * len(got), dtype="Int64")
-                yield got
-                place += 1
-
-    def traced(group: pd.DataFrame) -> pd.DataFrame:
-        """All chunks of one text: the scan over their matrices, then each by itself."""
-        m, group = shipped.value, group.sort_values("no")
-        at = border_states(np.stack([np.frombuffer(x, float).reshape(m.reach, m.reach) for x in group["matrix"]]))
-        parts = [
-            np.array(m.trace(_plain(r.head), r.inner, _plain(r.tail), r.n_tail, start, stop), np.int32)
-            for r, start, stop in zip(group.itertuples(), at[:-1], at[1:], strict=True)
-        ]
-        ids, first = np.concatenate(parts), group.iloc[0]
-        right = hashlib.sha256(m.decode(ids).encode()).hexdigest() == first["text_sha256"] if check else None
-        got = pd.DataFrame({"text_sha256": [first["text_sha256"]], "ids": [ids], "round_trip": pd.array([right], dtype="boolean")})
-        got.insert(0, "doc_id", pd.array([None if pd.isna(first["doc_id"]) else int(first["doc_id"])], dtype="Int64"))
-        return got
-
-    out = "doc_id long, text_sha256 string, ids array<int>, round_trip boolean"
-    small = rows.filter(~giant).mapInArrow(short, out)
-    chunks = "row long, text_sha256 string, no int, matrix binary, head binary, inner binary, tail binary, n_tail int, doc_id long"
-    large = rows.filter(giant).mapInPandas(outlined, chunks).groupBy("row").applyInPandas(traced, out)
-    return small.union(large)
+            for i in range(b.num_rows):
+                own = b.slice(i, 1)
+                ids = np.frombuffer(b"".join(own.column("ids")[0].as_py()), np.int32)
+                right = hashlib.sha256(m.decode(ids).encode()).hexdigest() == own.column("text_sha256")[0].as_py() if check else None
+                yield pa.record_batch({"doc_id": own.column("doc_id"), "text_sha256": own.column("text_sha256"), "ids": packed_lists([ids]), "round_trip": pa.array([right], pa.bool_())})
+
+    named = [*(rows.schema[n] for n in place), doc_id, T.StructField("text_sha256", T.StringType())]
+    chunks = rows.mapInArrow(cut, T.StructType([*named, *T.StructType.fromDDL("no int, body binary, ahead binary")])).repartition(*place, "no")
+    outlines = written(chunks.mapInArrow(outlined, T.StructType([*named, *T.StructType.fromDDL("no int, matrix binary, head binary, inner binary, tail binary, n_tail int")])))
+    states = outlines.select(*place, "no", "matrix").groupBy(*place).applyInPandas(scanned, "_file long, _row long, no int, start int, stop int")
+    ends = outlines.select(*place, "no", "head", "tail", "n_tail").join(states, [*place, "no"]).mapInPandas(traced, "_file long, _row long, no int, part int, ids binary")
+    none = F.lit(None)
+    parts = outlines.select(*place, "no", F.lit(1).alias("part"), F.col("inner").alias("ids"), "doc_id", F.col("text_sha256")).union(
+        ends.select("*", none.cast(doc_id.dataType).alias("doc_id"), none.cast("string").alias("text_sha256"))
+    )
+    ids = F.sort_array(F.collect_list(F.struct("no", "part", "ids")))["ids"].alias("ids")
+    whole = parts.groupBy(*place).agg(ids, F.first("doc_id", ignorenulls=True).alias("doc_id"), F.first("text_sha256", ignorenulls=True).alias("text_sha256"))
+    return whole.select("doc_id", "text_sha256", "ids").mapInArrow(gathered, out)
 
 
 def decode_ids(encoded: DataFrame, model: PieceModel, name: str = "decoded") -> DataFrame:
@@ -471,5 +511,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Last pipeline stage: doc_id, ids and their number for every document."""
+    """Last pipeline stage: doc_id, ids and their number for every row, repeated ones and null ids included; null and empty texts have none."""
     return encode_texts(docs, load_model()).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
