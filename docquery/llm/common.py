@@ -14,6 +14,8 @@ from pyspark.sql.window import Window
 
 #: Training and held-out rows are told apart by crc32(doc_id as text) mod FOLDS; rest 0 is held out.
 FOLDS = 5
+#: Narrow rows (some 64 bytes each) that one side of a join may have to be broadcast; beyond it both sides are shuffled.
+MAX_BROADCAST = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +79,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_side(df: DataFrame, most: int = MAX_BROADCAST) -> DataFrame | None:
+    """df, a stored frame of narrow rows, to be broadcast; None if it has more than `most` rows, so that the caller joins it as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else None
+
+
 def written(df: DataFrame) -> DataFrame:
     """df written as Parquet to the checkpoint folder and read again: unlike `stored`, compressed, and columns are read apart."""
     at = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"

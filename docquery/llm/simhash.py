@@ -26,7 +26,8 @@ doc_ids of the group are null. Very long texts are hashed whole, in blocks.
 
 The pipeline's stage has another rule, sets of five-word shingles with a Jaccard similarity of 0.8.
 There two texts differ in 9.7 of 64 SimHash bits on average (64 acos(8/9) / pi), far beyond what
-Golay keys reach, so it finds its pairs by bands of minima and checks the sets themselves.
+Golay keys reach, so it finds its candidates by bands of minima, their pairs by stars and an exact
+prefix join, and checks the sets themselves.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docquery.llm.common import column, columns, fresh, numbered, stored, table
+from docquery.llm.common import MAX_BROADCAST, column, columns, fresh, numbered, small_side, stored, table
 
 SHINGLE = 3
 SEED = 42
@@ -53,10 +54,10 @@ STAGE_SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 16, 5
 #: The low bits of a band's key that hold its number.
 BAND_BITS = 31
+#: Bits that tell unlike sets apart before they are compared.
+PARITIES = 256
 #: Texts whose sets of shingles a task holds at once.
 SLICE = 64
-#: Bands from whose buckets each set takes the least member to be held against before pairs are made.
-HEADS = 6
 #: Fixed value: the generator polynomial x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 of the Golay code.
 GENERATOR = 0b101011100011
 
@@ -304,37 +305,88 @@ def similar(pairs: DataFrame, members: DataFrame, least: float) -> DataFrame:
     return both.filter((1 + least) * common >= least * (F.col("_n") + F.col("_m")) - 1e-6).select("a", "b")
 
 
-def similar_groups(rows: DataFrame, texts: DataFrame, at: list[str], shingle: int = STAGE_SHINGLE, least: float = SIMILAR) -> DataFrame:
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """PARITIES bits (as longs): of each, whether an odd number of the shingles fall on it. Two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((shingles % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def star_pairs(shared: DataFrame) -> DataFrame:
+    """(a, b): each set b of shared (key, fp, n) beside the most central other set a that it shares a bucket with.
+
+    A set is the more central the more sets its buckets hold, so that copies with changes of
+    their own meet the text that they were made from.
+    """
+    scores = shared.groupBy("fp").agg(F.sum("n").alias("score"))
+    scored = shared.join(scores, "fp")
+    two = F.slice(F.sort_array(F.collect_set("top"), asc=False), 1, 2)
+    # two heads a bucket, as a head needs another; each is the best of many partial maxima
+    first = scored.groupBy("key").agg(F.max(F.struct("score", "fp")).alias("top"))
+    others = scored.join(first, "key").filter(F.col("fp") != F.col("top.fp")).groupBy("key").agg(F.max(F.struct("score", "fp")).alias("top"))
+    heads = first.union(others).groupBy("key").agg(two.alias("tops"))
+    met = shared.join(heads, "key").select("fp", F.explode("tops").alias("top")).filter(F.col("top.fp") != F.col("fp"))
+    return met.groupBy(F.col("fp").alias("b")).agg(F.max("top").alias("top")).select(F.col("top.fp").alias("a"), "b")
+
+
+def prefix_pairs(members: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """(a, b), a < b: pairs of sets of unlike roots that may reach the similarity, by an exact prefix join.
+
+    Shingles are ordered by how many of the sets hold them, rarest first. Sets that reach it share
+    one of the first n - ceil(least n) + 1 of each, and the first that they share is early enough
+    in both to leave room for the overlap they need. A copy's own changes are its rarest shingles, so
+    unlike copies of one text seldom meet; most that do have too many unlike parity bits. members:
+    (fp, n, bits, shingles); roots: (fp, root).
+    """
+    single = members.join(roots, "fp").select("fp", "n", "root", F.explode("shingles").alias("shingle"))
+    counts = single.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("root").alias("low"), F.max("root").alias("high"))
+    useful = (F.col("low") != F.col("high")).alias("useful")
+    listed = single.join(counts.select("shingle", "sets", useful), "shingle").groupBy("fp", "n", "root").agg(F.sort_array(F.collect_list(F.struct("sets", "shingle", "useful"))).alias("all"))
+    width = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-6).cast("int") + 1
+    prefix = listed.select("fp", "n", "root", F.posexplode(F.slice("all", F.lit(1), width)).alias("at", "one")).filter("one.useful")
+    prefix = stored(prefix.select("fp", "n", "root", "at", F.col("one.shingle").alias("shingle")).join(members.select("fp", "bits"), "fp"))
+    a = prefix.select("shingle", F.col("fp").alias("a"), F.col("n").alias("_n"), F.col("root").alias("_r"), F.col("at").alias("_i"), F.col("bits").alias("_p"))
+    b = prefix.select("shingle", F.col("fp").alias("b"), F.col("n").alias("_m"), F.col("root").alias("_s"), F.col("at").alias("_j"), F.col("bits").alias("_q"))
+    needed = least / (1 + least) * (F.col("_n") + F.col("_m")) - 1e-6
+    room = F.least(F.col("_n") - F.col("_i"), F.col("_m") - F.col("_j"))
+    sizes = F.least("_n", "_m") >= least * F.greatest("_n", "_m") - 1e-6
+    unlike = sum(F.bit_count(F.col("_p")[k].bitwiseXOR(F.col("_q")[k])) for k in range(PARITIES // 64))
+    hopeful = (F.col("a") < F.col("b")) & (F.col("_r") != F.col("_s")) & sizes & (room >= needed) & (unlike <= F.col("_n") + F.col("_m") - 2 * needed)
+    return a.join(b, ["shingle"]).filter(hopeful).select("a", "b").distinct()
+
+
+def similar_groups(
+    rows: DataFrame, texts: DataFrame, at: list[str], shingle: int = STAGE_SHINGLE, least: float = SIMILAR, most: int = MAX_BROADCAST
+) -> DataFrame:
     """(fp, root) of every set of shingles in rows that isn't alone: the components of pairs of `least` similarity or more.
 
     rows: what `sketches` makes, stored; texts: the same rows with their texts; at: the columns
-    that name a row in both. Equal sets are one from the start. Pairs that share a band are
-    checked exactly. Each set is first held against the least member of its buckets in a few
-    bands, so that a large group of near copies needs pairs only where it isn't one component yet.
+    that name a row in both. Equal sets are one from the start. Sets that share a band are
+    candidates. Each is held against the most central of its buckets, which makes one component
+    of most groups of near copies; what is in a bucket with other components then meets by prefixes.
+    All pairs are checked exactly.
     """
     keyed = rows.filter("fp != 0").select("fp", "bands").dropDuplicates(["fp"]).select("fp", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("fp").alias("head"), F.count("*").alias("_rows")).filter("_rows > 1").drop("_rows")
+    buckets = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = stored(keyed.join(buckets, "key"))
     wanted = shared.select("fp").distinct()
-    one = rows.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(*at)).alias("_one")).select("fp", "_one.*")
-    text = by_slices(
-        texts.join(one, at).select("fp", "text"),
-        lambda sets, _: {"n": pa.array([len(x) for x in sets], pa.int32()), "shingles": as_lists([x.view(np.int64) for x in sets], pa.int64())},
-        T.StructType.fromDDL("fp long, n int, shingles array<long>"), shingle,
-    )
-    members = stored(text)
-    first = shared.filter((F.col("key").bitwiseAND(F.lit(BAND_BITS)) < HEADS) & (F.col("fp") != F.col("head"))).groupBy(F.col("fp").alias("b")).agg(F.min("head").alias("a")).select("a", "b")
-    first = stored(similar(first, members, least))
+    one = stored(rows.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(*at)).alias("_one")).select("fp", "_one.*"))
+    met = texts.join(small_side(one, most) or one, at).select("fp", "text")
+
+    def make(sets: list[np.ndarray], _) -> dict[str, pa.Array]:
+        n = pa.array([len(x) for x in sets], pa.int32())
+        return {"n": n, "bits": as_lists([parities(x) for x in sets], pa.int64()), "shingles": as_lists([x.view(np.int64) for x in sets], pa.int64())}
+
+    members = stored(by_slices(met, make, T.StructType.fromDDL("fp long, n int, bits array<long>, shingles array<long>"), shingle))
+    first = stored(similar(star_pairs(shared), members, least))
     known = components(first).withColumnRenamed("node", "fp")
-    placed = shared.select("key", "fp").join(known, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = stored(shared.select("key", "fp").join(known, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
-    placed = stored(placed.join(mixed, "key"))
-    a, b = (placed.select("key", F.col("fp").alias(n), F.col("root").alias(f"_{n}")) for n in "ab")
-    rest = a.join(b, "key").filter("a < b and _a != _b").select("a", "b").distinct()
+    roots = placed.join(mixed, "key", "left_semi").select("fp", "root").distinct()
+    rest = prefix_pairs(members, roots, least)
     return components(first.union(similar(rest, members, least))).withColumnRenamed("node", "fp")
 
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, most: int = MAX_BROADCAST) -> DataFrame:
     """Pipeline stage: of each component of near copies the row with the smallest doc_id stays, unchanged.
 
     Near copies have sets of five-word shingles with a Jaccard similarity of 0.8 or more; all
@@ -348,9 +400,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     texts = numbered(docs, file, row)
     narrow = texts.select(column(file).alias("_file"), column(row).alias("_row"), column("doc_id").alias("doc_id"), column("text").alias("text"))
     rows = stored(sketches(narrow, STAGE_SHINGLE))
-    groups = similar_groups(rows, narrow.drop("doc_id"), ["_file", "_row"])
+    groups = similar_groups(rows, narrow.drop("doc_id"), ["_file", "_row"], most=most)
     alone = F.when(F.col("doc_id").isNull(), F.col("blank")).alias("alone")
     rooted = rows.select("_file", "_row", "doc_id", "fp", alone).join(groups, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_file", "_row")).alias("first")
     kept = rooted.groupBy("root", "alone").agg(first).select(F.col("first._file").alias("_f"), F.col("first._row").alias("_r"))
-    return texts.join(kept, (column(file) == F.col("_f")) & (column(row) == F.col("_r")), "left_semi").select(*columns(docs))
+    same = (column(file) == F.col("_f")) & (column(row) == F.col("_r"))
+    gone = stored(rows.select(F.col("_file").alias("_f"), F.col("_row").alias("_r")).join(kept, ["_f", "_r"], "left_anti"))
+    few = small_side(gone, most)
+    left = texts.join(kept, same, "left_semi") if few is None else texts.join(few, same, "left_anti")
+    return left.select(*columns(docs))

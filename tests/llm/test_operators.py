@@ -235,10 +235,24 @@ def test_random_runs_of_every_alphabet(spark):
     assert all(found[k] >= 17 for k, (_, n) in enumerate(cases) if n >= 100), {cases[k]: n for k, n in found.items()}
 
 
-def test_near_copies_of_the_pipeline_by_brute_force(spark):
+def copies_of_one_text(rng, word):
+    """Near copies of a base with changes of their own, of which some reach the similarity only by way of others."""
+    base = [word() for _ in range(80)]
+    rows = [list(base)]
+    for k in range(60):
+        other = list(rows[rng.randrange(len(rows))] if k % 3 == 0 else base)
+        for at in rng.sample(range(80), rng.choice([1, 1, 2, 3, 4])):
+            other[at] = word()
+        rows.append(other)
+    return [" ".join(r) for r in rows]
+
+
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_near_copies_of_the_pipeline_by_brute_force(spark, most):
+    """With one side of the joins on texts broadcast, and with both shuffled."""
     rng = random.Random(12)
     word = lambda: "w" + str(rng.randrange(10**9))
-    rows = []
+    rows = [(1_000 + k, t) for k, t in enumerate(copies_of_one_text(rng, word))]
     for k in range(60):
         base = [word() for _ in range(100)]
         rows.append((3 * k, " ".join(base)))
@@ -248,6 +262,7 @@ def test_near_copies_of_the_pipeline_by_brute_force(spark):
                 other[at] = word()
             rows.append((key, " ".join(other)))
     rows += [(None, a) for a in ("x y z", "X y  z", "x y q")]
+    rows += [(7, "unlike text under an id that is there"), (7, "unlike text under an id that is there"), (None, "x y z")]
     sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for _, t in rows)]
     root = list(range(len(rows)))
     for i in range(len(rows)):
@@ -255,6 +270,8 @@ def test_near_copies_of_the_pipeline_by_brute_force(spark):
             if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
                 root = [root[j] if r == root[i] else r for r in root]
     want = [min((r[0] for r, x in zip(rows, root, strict=True) if x == k and r[0] is not None), default=None) for k in set(root)]
-    kept = [r.doc_id for r in simhash.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, `a.b` int").withColumn("_file", F.lit("clash"))
+    out = simhash.drop_near_duplicates(spark, docs, "", most)
+    kept = [r.doc_id for r in out.collect()]
     order = lambda ids: sorted(ids, key=lambda i: (i is None, i))
-    assert order(kept) == order(want)
+    assert out.columns == docs.columns and order(kept) == order(want)
