@@ -157,18 +157,21 @@ def test_shards(spark, odd):
 
 
 def test_top_k_against_all_scores(spark):
+    """Copies of vectors, and ids that repeat with other vectors."""
     rng = np.random.default_rng(3)
     e = np.round(rng.normal(size=(230, 6)), 1)
     e[100:160] = e[7]
-    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(e)], "vec_id long, embedding array<double>")
+    ids = [*range(220), 0, 50, 50, 3, 3, 100, 100, 7, 7, 7]
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, e, strict=True)], "vec_id long, embedding array<double>")
     q = topk.quantised(frame, "vec_id", "embedding")
-    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(q, q.filter("id % 50 = 0")).collect())
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(q, F.col("id") % 50 == 0).collect())
     m = np.floor(256 * e).astype(int)
     want = []
-    for i in range(0, 230, 50):
-        order = sorted((j for j in range(230) if j != i), key=lambda j: (-int(m[i] @ m[j]), j))[:5]
-        want += [(i, k + 1, j, int(m[i] @ m[j])) for k, j in enumerate(order)]
-    assert got == want
+    for i in range(230):
+        if ids[i] % 50 == 0:
+            order = sorted((j for j in range(230) if j != i), key=lambda j: (-int(m[i] @ m[j]), ids[j]))[:5]
+            want += [(ids[i], k + 1, ids[j], int(m[i] @ m[j])) for k, j in enumerate(order)]
+    assert got == sorted(want)
 
 
 def base_spans(text):
@@ -275,3 +278,64 @@ def test_near_copies_of_the_pipeline_by_brute_force(spark, most):
     kept = [r.doc_id for r in out.collect()]
     order = lambda ids: sorted(ids, key=lambda i: (i is None, i))
     assert out.columns == docs.columns and order(kept) == order(want)
+
+
+def slow_kneser_ney(texts, least):
+    """chars -> probability under interpolated Kneser-Ney of a language's texts, worked out place by place; and the letters."""
+    four = defaultdict(int)
+    for t in texts:
+        codes = langid.codes(t).tolist()
+        for i in range(len(codes) - 3):
+            four[tuple(codes[i : i + 4])] += 1
+    by_order = {4: dict(four)}
+    for order in (3, 2, 1):
+        by_order[order] = defaultdict(int)
+        for g in by_order[order + 1]:
+            by_order[order][g[1:]] += 1
+
+    def p(g, wide):
+        if not g:
+            return 1 / (4 * wide)
+        counts = by_order[len(g)]
+        n1, n2 = (sum(v == k for v in counts.values()) for k in (1, 2))
+        discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.75
+        kept = {x: v for x, v in counts.items() if x[:-1] == g[:-1] and (len(g) < 4 or v >= least)}
+        total = sum(v for x, v in counts.items() if x[:-1] == g[:-1])
+        if not kept:
+            return p(g[1:], wide)
+        left = 1 - sum(v - discount for v in kept.values()) / total
+        return (max(kept[g] - discount, 0) / total if g in kept else 0) + left * p(g[1:], wide)
+
+    return p, {g[0] for g in by_order[1]}
+
+
+@pytest.mark.parametrize("least", [1, 2])
+def test_kneser_ney_against_a_slow_model(spark, least):
+    texts = {"a": ["abra cadabra abracadabra", "cadabra abra dab", None, ""], "b": ["hocus pocus locus", "focus hocus!"]}
+    rows = [(k, t, lang) for lang, own in texts.items() for k, t in enumerate(own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("fold", F.lit(2))
+    tables, contexts = langid.gram_tables(langid.count_grams(docs).select("lang", "gram", "n"), least)
+    model = langid.build_model(["a", "b"], [t.toPandas() for t in tables], [c.toPandas() for c in contexts])
+    wide = len(model.grams[0].hashes) - 1
+    for k, lang in enumerate("ab"):
+        p, own = slow_kneser_ney(texts[lang], least)
+        places = [c[i : i + 4] for t in ["abra hocus", "dabra cad pocus"] for c in [langid.codes(t)] for i in range(len(langid.codes(t)) - 3)]
+        got = np.exp(model.position_scores(np.concatenate([langid.grams(c) for c in places]))[:, k].astype(float))
+        assert got == pytest.approx([p(tuple(c.tolist()), wide) for c in places], rel=1e-4)
+        for c in places:  # all next letters together, and a rest for those never seen
+            assert 0.5 < sum(p((*c.tolist()[:3], x), wide) for x in own) <= 1.0001
+    judged = langid.Identifier(None, [["a", "b"]], ([], [])).judge(*model.cross_entropy(["abracad", "hocus", "", None, "123 !"]))
+    assert list(judged["lang"]) == ["a", "b", "und", "und", "und"] and list(judged["score"])[2:] == [0, 0, 0]
+
+
+def test_languages_in_several_parts(spark):
+    """With a bound that lets every language be a part of its own, the same predictions; full counts say the same within a percent."""
+    at = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{at}/documents.parquet").select("doc_id", "text", "lang")
+    few = docs.filter("doc_id < 200")
+    say = lambda model: {r.doc_id: (r.found.lang, round(r.found.cross_entropy or 0, 5)) for r in langid.identify_languages(few, model, "found").collect()}
+    whole, parts = langid.fit_langid(docs), langid.fit_langid(docs, most_cells=1)
+    assert len(whole.parts) == 1 and len(parts.parts) == len(whole.languages) > 1
+    one, two, full = say(whole), say(parts), say(langid.fit_langid(docs, least=1))
+    assert {k: v[0] for k, v in one.items()} == {k: v[0] for k, v in two.items()}
+    assert sum(one[k][0] == full[k][0] for k in one) >= 0.99 * len(one)
