@@ -13,13 +13,14 @@ Wang, 2004). Vectors are integers, floor(256 x), so all scores are exact.
 
 Equal vectors are folded into one class first, with the k + 1 smallest ids of each, so many copies
 cost nothing and ties are cut by id, exactly. Queries and classes meet as blocks of rows (matrix
-products), never row by row; each pair of blocks is a task's batch, so no set of queries or of
-vectors is ever broadcast or gathered whole.
+products), never row by row; each slice of a pair of blocks is a row of its own, so no set of queries
+or of vectors is ever broadcast or gathered whole.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components take no
 part, as queries or candidates; vectors of different lengths never score each other; a null id
-takes no part. Of rows that repeat an id with the same vector, one counts; fewer than k
-candidates give fewer rows.
+takes no part. Rows that repeat an id are queries and candidates of their own; among candidates of
+equal score and id either may come first. Fewer than k candidates give fewer rows. Other columns are
+left aside, so their names don't matter.
 """
 
 from __future__ import annotations
@@ -28,11 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docquery.llm.common import stored, table
+from docquery.llm.common import ranked, stored, table
 
 K = 5
 SCALE = 256
@@ -43,12 +44,12 @@ SALTS = 32
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
-    """(id, q) with q = floor(scale * x) as array of long, of usable rows only."""
+    """(id, q) with q = floor(scale * x) as array of long, of usable rows only, repeated ones included."""
     x = F.transform(vector_col, lambda v: v.cast("double"))
     usable = F.size(vector_col) > 0
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     rows = vectors.filter(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull() & usable & finite)
-    return rows.select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda v: F.floor(v * scale)).alias("q")).distinct()
+    return rows.select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda v: F.floor(v * scale)).alias("q"))
 
 
 def smallest_ids(rows: DataFrame, keep: int) -> DataFrame:
@@ -64,11 +65,13 @@ def smallest_ids(rows: DataFrame, keep: int) -> DataFrame:
 
 
 def blocks(rows: DataFrame, per_block: int) -> tuple[DataFrame, int]:
-    """(dim, block, ids, matrix): rows (id, q) packed into matrices of about per_block rows, dealt by hash; and the number of blocks."""
+    """(dim, block, slice, ids, matrix): rows (id, q) packed into blocks of about per_block rows, dealt by hash, each block's slices as matrices of their own; and the number of blocks."""
     n = max(1, -(-rows.count() // per_block))
-    dealt = rows.select(F.size("q").alias("dim"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(n)).cast("int").alias("block"), "id", "q")
-    packed = dealt.groupBy("dim", "block").agg(F.sort_array(F.collect_list(F.struct("id", "q"))).alias("rows"))
-    return stored(packed.select("dim", "block", F.col("rows.id").alias("ids"), F.flatten("rows.q").alias("matrix"))), n
+    dealt = rows.select(F.size("q").alias("dim"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(n)).cast("int").alias("block"), "id", "q", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice"))
+    low = lambda k: F.floor(k * F.col("dim") / SLICES).cast("int")
+    own = dealt.withColumn("q", F.slice("q", low(F.col("slice")) + 1, low(F.col("slice") + 1) - low(F.col("slice"))))
+    packed = own.groupBy("dim", "block", "slice").agg(F.sort_array(F.collect_list(F.struct("id", "q"))).alias("rows"))
+    return stored(packed.select("dim", "block", "slice", F.col("rows.id").alias("ids"), F.flatten("rows.q").alias("matrix"))), n
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -91,16 +94,15 @@ def node_lists(pairs: DataFrame, k: int, cutoffs: bool) -> DataFrame:
                 q = np.asarray(row.q_matrix, np.int64).reshape(len(row.q_ids), -1)
                 v = np.asarray(row.matrix, np.int64).reshape(len(row.ids), -1)
                 q_ids, ids = np.asarray(row.q_ids, np.int64), np.asarray(row.ids, np.int64)
-                for s, at in enumerate(np.array_split(np.arange(q.shape[1]), SLICES)):
-                    part = product(q[:, at], v[:, at])
-                    if cutoffs:
-                        t = np.array([-(2**62) if x is None or x != x else x for x in row.t], np.int64)
-                        a, b = np.nonzero(part * SLICES >= t[:, None])
-                    else:
-                        top = min(k, len(ids))
-                        b = np.argpartition(-part, top - 1, axis=1)[:, :top].ravel()
-                        a = np.repeat(np.arange(len(q_ids)), top)
-                    yield pd.DataFrame({"query_id": q_ids[a], "class_id": ids[b], "slice": np.int32(s), "part": part[a, b]})
+                part = product(q, v)
+                if cutoffs:
+                    t = np.array([-(2**62) if x is None or x != x else x for x in row.t], np.int64)
+                    a, b = np.nonzero(part * SLICES >= t[:, None])
+                else:
+                    top = min(k, len(ids))
+                    b = np.argpartition(-part, top - 1, axis=1)[:, :top].ravel()
+                    a = np.repeat(np.arange(len(q_ids)), top)
+                yield pd.DataFrame({"query_id": q_ids[a], "class_id": ids[b], "slice": np.int32(row.slice), "part": part[a, b]})
 
     return pairs.mapInPandas(run, "query_id long, class_id long, slice int, part long")
 
@@ -113,31 +115,42 @@ def exact(pairs: DataFrame, queries: DataFrame, classes: DataFrame) -> DataFrame
     return both.select("query_id", "class_id", dot.alias("score"))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k best vectors of the others, ties to the smaller id.
+def top_k(rows: DataFrame, asked: Column, k: int = K) -> DataFrame:
+    """(query_id, rank, vec_id, score): for each row that `asked` names its k best of the other rows, ties to the smaller id.
 
-    vectors and queries: (id, q) as `quantised` makes them. A query's own id is left out.
+    rows: (id, q) as `quantised` makes them. All rows are numbered in the order of their ids, and
+    the numbers stand for them until the end, so rows that repeat an id are rows of their own.
+    """
+    named = stored(ranked(rows, [F.col("id")], "number"))
+    vectors = named.select(F.col("number").alias("id"), "q")
+    found = top_k_numbers(vectors, named.filter(asked).select(F.col("number").alias("id"), "q"), k)
+    names = named.select("number", "id")
+    out = found.join(names.select(F.col("number").alias("query_id"), F.col("id").alias("_query")), "query_id").join(names.select(F.col("number").alias("vec_id"), F.col("id").alias("_vec")), "vec_id")
+    return out.select(F.col("_query").alias("query_id"), "rank", F.col("_vec").alias("vec_id"), "score")
+
+
+def top_k_numbers(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The same for vectors and queries (id, q) whose ids are unique over both. A query's own id is left out.
 
     A class that holds one of a query's k best is among its k + 1 best classes, by score and
     then least id: each better class holds a better vector, and only one may be the query alone.
     """
-    vectors, queries = stored(vectors), stored(queries)
     classes = stored(smallest_ids(vectors, k + 1))
     wide = k + 1
     v, n = blocks(classes.select(F.col("class_id").alias("id"), "q"), VECTOR_ROWS)
     q, _ = blocks(queries, QUERY_ROWS)
-    q = q.select("dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
+    q = q.select("dim", "slice", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
 
     def met(left: DataFrame) -> DataFrame:
         """Every block of queries beside every block of vectors of its length: that is the query set's whole work."""
-        return left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(v, ["dim", "block"])
+        return left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(v, ["dim", "block", "slice"])
 
     listed = node_lists(met(q), wide, False)
     best = Window.partitionBy("query_id", "slice").orderBy(F.desc("part"), "class_id")
     short = listed.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= wide).select("query_id", "class_id").distinct()
     down = Window.partitionBy("query_id").orderBy(F.desc("score"), "class_id")
     cutoff = exact(short, queries, classes).withColumn("_n", F.row_number().over(down)).filter(F.col("_n") == wide).select("query_id", F.col("score").alias("t"))
-    held = q.select("dim", "q_block", F.posexplode("q_ids").alias("at", "query_id")).join(cutoff, "query_id", "left")
+    held = q.filter("slice = 0").select("dim", "q_block", F.posexplode("q_ids").alias("at", "query_id")).join(cutoff, "query_id", "left")
     told = held.groupBy("dim", "q_block").agg(F.sort_array(F.collect_list(F.struct("at", "t"))).alias("_t")).select("dim", "q_block", F.col("_t.t").alias("t"))
     cutoff = stored(cutoff)
     sent = node_lists(met(q.join(told, ["dim", "q_block"])), wide, True)
@@ -155,5 +168,5 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = quantised(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding")
-    return top_k(vectors, vectors.filter("id % 50 = 0"))
+    rows = quantised(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding")
+    return top_k(rows, F.col("id") % 50 == 0)
