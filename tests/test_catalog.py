@@ -30,5 +30,5 @@ def plain(rows, columns):
 def test_matches_sql(spark, duck, name):
     frame = catalog.queries()[name](spark, DATA)
     got = plain(frame.collect(), frame.columns)
-    cursor = duck.execute(catalog.oracle_sql()[name])
+    cursor = duck.execute(catalog.expected_sql()[name])
     assert got == plain(cursor.fetchall(), [c[0] for c in cursor.description])
