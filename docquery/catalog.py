@@ -74,7 +74,7 @@ FILTERS: dict[str, tuple[Callable, str, dict, str]] = {
     "mod_string": (relational.parts, PARTS, {"size": {"$string": {"$startsWith": "1"}}}, "starts_with(CAST(p_size AS VARCHAR), '1')"),
     "mod_boolean": (relational.parts, PARTS, {"size": {"$boolean": True}}, "false"),
     "mod_date": (relational.orders, ORDERS, {"orderdate": {"$date": {"$gte": "1997-01-01", "$lt": "1997-04-01"}}}, "o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1997-04-01'"),
-    "mod_timestamp": (relational.events, EVENTS, {"ts": {"$timestamp": {"$gt": "2024-01-15T00:00:00Z"}}}, "date_trunc('second', ts) > TIMESTAMP '2024-01-15 00:00:00'"),
+    "mod_timestamp": (relational.events, EVENTS, {"ts": {"$timestamp": {"$gt": "2024-01-15T00:00:00Z"}}}, "ts > TIMESTAMP '2024-01-15 00:00:00'"),
     "mod_ceiling": (relational.parts, PARTS, {"retailprice": {"$ceiling": {"$mod": [10, 0]}}}, "ceil(p_retailprice) % 10 = 0"),
     "mod_floor": (relational.parts, PARTS, {"retailprice": {"$floor": {"$mod": [10, 0]}}}, "floor(p_retailprice) % 10 = 0"),
     "mod_abs": (relational.events, EVENTS, {"value": {"$abs": {"$lt": 3}}}, "abs(value) < 3"),

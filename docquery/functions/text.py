@@ -17,7 +17,7 @@ def contains(items: Column, words: str) -> Column:
     The items' JSON texts are split into words once their escapes and keys are cut out, so depth
     needs no recursion: escaped line breaks, tabs and quotes separate words as the characters do.
     """
-    texts = F.transform(items, lambda x: F.regexp_replace(F.to_json(x), r"\\.", " "))
+    texts = F.transform(items, lambda x: F.regexp_replace(F.to_json(x), r"\\(u[0-9a-fA-F]{4}|.)", " "))
     bare = F.transform(texts, lambda t: F.regexp_replace(t, r'"[^"]*":', " "))
     clean = F.lower(F.array_join(bare, " "))
     tokens = F.split(clean, BREAK)

@@ -11,10 +11,14 @@ import json
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+DECIMAL = "decimal(38,18)"
+#: Texts that $number and $double read; not NaN or Infinity.
+NUMERAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 NUMBERS = r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL.*|DOUBLE|FLOAT)$"
 
 
@@ -31,6 +35,12 @@ def kind(item: Column) -> Column:
     )
 
 
+def is_kind(item: Column, wanted: str) -> Column:
+    """kind(item) == wanted for the kinds of scalars, with one look at the item's type."""
+    t = F.schema_of_variant(item)
+    return {"number": t.rlike(NUMBERS), "string": t == "STRING", "boolean": t == "BOOLEAN", "null": t == "VOID"}[wanted]
+
+
 def unwrapped(item: Column) -> Column:
     """The elements of an array; anything else as the one element of an array."""
     return F.coalesce(get(item, "array<variant>"), F.array(item))
@@ -38,36 +48,45 @@ def unwrapped(item: Column) -> Column:
 
 @dataclass(frozen=True)
 class Value:
+    """exact: the number as decimal(38, 18), null beyond its range; only comparisons with large whole numbers look at it."""
+
     number: Column
     text: Column
     truth: Column
     moment: Column
     null: Column
+    exact: Column | None = None
 
 
-def _value(number=None, text=None, truth=None, moment=None, null=None) -> Value:
+def _value(number=None, text=None, truth=None, moment=None, null=None, exact=None) -> Value:
     void = lambda c, t: F.lit(None).cast(t) if c is None else c
-    return Value(void(number, "double"), void(text, "string"), void(truth, "boolean"), void(moment, "timestamp_ntz"), void(null, "boolean"))
+    return Value(void(number, "double"), void(text, "string"), void(truth, "boolean"), void(moment, "timestamp_ntz"), void(null, "boolean"), exact)
 
 
 def plain(item: Column) -> Value:
-    k = kind(item)
+    number = is_kind(item, "number")
     return _value(
-        F.when(k == "number", get(item, "double")), F.when(k == "string", get(item, "string")),
-        F.when(k == "boolean", get(item, "boolean")), None, k == "null",
+        F.when(number, get(item, "double")), F.when(is_kind(item, "string"), get(item, "string")),
+        F.when(is_kind(item, "boolean"), get(item, "boolean")), None, is_kind(item, "null"), F.when(number, get(item, DECIMAL)),
     )
 
 
 def canonical_text(item: Column) -> Column:
-    """Numbers without trailing zeros or exponent, booleans and strings as text; null for all else."""
+    """Numbers without trailing zeros or exponent (but for those a decimal can't hold), booleans and strings as text; null for all else."""
     k = kind(item)
-    exact = F.regexp_replace(F.regexp_replace(get(item, "decimal(38,12)").cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    return F.when(k == "number", F.coalesce(exact, get(item, "string"))).when(k.isin("string", "boolean"), get(item, "string"))
+    exact = get(item, DECIMAL)
+    plainly = F.regexp_replace(F.regexp_replace(exact.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    held = exact.isNotNull() & ((exact != 0) | (get(item, "double") == 0))
+    return F.when(k == "number", F.when(held, F.when(exact == 0, "0").otherwise(plainly)).otherwise(get(item, "string"))).when(k.isin("string", "boolean"), get(item, "string"))
 
 
-def _number(item: Column) -> Column:
-    k = kind(item)
-    return F.when(k == "number", get(item, "double")).when(k == "string", get(item, "string").try_cast("double"))
+def _read_number(item: Column, cast: str) -> Column:
+    text = get(item, "string")
+    return F.when(is_kind(item, "number"), get(item, cast)).when(is_kind(item, "string") & text.rlike(NUMERAL), F.trim(text).try_cast(cast))
+
+
+def _number(item: Column) -> Value:
+    return _value(number=_read_number(item, "double"), exact=_read_number(item, DECIMAL))
 
 
 def _case(item: Column, change: Callable[[Column], Column]) -> Value:
@@ -76,7 +95,7 @@ def _case(item: Column, change: Callable[[Column], Column]) -> Value:
 
 
 def _native_number(item: Column, change: Callable[[Column], Column]) -> Value:
-    return _value(number=change(F.when(kind(item) == "number", get(item, "double"))).cast("double"))
+    return _value(number=change(F.when(is_kind(item, "number"), get(item, "double"))).cast("double"))
 
 
 def _boolean(item: Column) -> Value:
@@ -84,20 +103,29 @@ def _boolean(item: Column) -> Value:
     return _value(truth=F.when(k == "boolean", get(item, "boolean")).when((k == "string") & text.isin("true", "false"), text == "true"))
 
 
+def moment_of(text: Column, cast: str = "timestamp_ntz") -> Column:
+    """An ISO date or time as a timestamp without zone, in UTC: Z means UTC, and an offset after the time is taken off."""
+    zone = r"^(.*T.*)([+-])(\d{2}):?(\d{2})$"
+    bare = F.regexp_replace(F.regexp_replace(text, r"(?i)z$", ""), zone, "$1").try_cast("timestamp_ntz")
+    part = lambda k: F.regexp_extract(text, zone, k).cast("int")
+    minutes = F.when(text.rlike(zone), F.when(F.regexp_extract(text, zone, 2) == "-", -1).otherwise(1) * (60 * part(3) + part(4))).otherwise(0)
+    at = bare - F.make_dt_interval(F.lit(0), F.lit(0), minutes)
+    return at.cast("date").cast("timestamp_ntz") if cast == "date" else at
+
+
 def _moment(item: Column, cast: str) -> Value:
-    text = F.when(kind(item) == "string", F.regexp_replace(get(item, "string"), r"(?i)z$", ""))
-    return _value(moment=text.try_cast(cast).cast("timestamp_ntz"))
+    return _value(moment=moment_of(F.when(is_kind(item, "string"), get(item, "string")), cast))
 
 
 def _only(item: Column, wanted: str) -> Value:
-    p, k = plain(item), kind(item) == wanted
-    return _value(F.when(k, p.number), F.when(k, p.text), F.when(k, p.truth))
+    p, k = plain(item), is_kind(item, wanted)
+    return _value(F.when(k, p.number), F.when(k, p.text), F.when(k, p.truth), exact=F.when(k, p.exact))
 
 
 #: Modifier -> its reading of an item.
 MODIFIERS: dict[str, Callable[[Column], Value]] = {
-    "$number": lambda x: _value(number=_number(x)),
-    "$double": lambda x: _value(number=_number(x)),
+    "$number": _number,
+    "$double": lambda x: _value(number=_read_number(x, "double")),
     "$string": lambda x: _value(text=canonical_text(x)),
     "$boolean": _boolean,
     "$date": lambda x: _moment(x, "date"),
@@ -108,7 +136,7 @@ MODIFIERS: dict[str, Callable[[Column], Value]] = {
     "$abs": lambda x: _native_number(x, F.abs),
     "$upper": lambda x: _case(x, F.upper),
     "$lower": lambda x: _case(x, F.lower),
-    "$length": lambda x: _value(number=F.when(kind(x) == "string", F.length(get(x, "string"))).cast("double")),
+    "$length": lambda x: _value(number=F.when(is_kind(x, "string"), F.length(get(x, "string"))).cast("double")),
     "$size": lambda x: _value(number=F.coalesce(F.size(get(x, "array<variant>")), F.lit(1)).cast("double")),
     "$type": lambda x: _value(text=kind(x)),
     "$numberOnly": lambda x: _only(x, "number"),
@@ -133,13 +161,15 @@ def compare(value: Value, op: str, operand, moment: bool = False) -> Column:
         return value.null if op == "eq" else F.lit(False)
     if isinstance(operand, bool):
         return value.truth == F.lit(operand) if op == "eq" else F.lit(False)
+    tests = {"eq": lambda x, y: x == y, "gt": lambda x, y: x > y, "lt": lambda x, y: x < y, "gte": lambda x, y: x >= y, "lte": lambda x, y: x <= y}
     if moment:
-        left, right = value.moment, F.lit(re.sub(r"(?i)z$", "", str(operand))).try_cast("timestamp_ntz")
-    elif isinstance(operand, str):
-        left, right = value.text, F.lit(operand)
-    else:
-        left, right = value.number, F.lit(float(operand))
-    return {"eq": left == right, "gt": left > right, "lt": left < right, "gte": left >= right, "lte": left <= right}[op]
+        return tests[op](value.moment, moment_of(F.lit(str(operand))))
+    if isinstance(operand, str):
+        return tests[op](value.text, F.lit(operand))
+    found = tests[op](value.number, F.lit(float(operand)))
+    if isinstance(operand, int) and value.exact is not None and 2**53 <= abs(operand) < 10**20:  # doubles tell smaller whole numbers apart
+        return F.coalesce(tests[op](value.exact, F.lit(Decimal(operand))), found)
+    return found
 
 
 def sort_key(item: Column) -> Column:
@@ -150,14 +180,14 @@ def sort_key(item: Column) -> Column:
     return F.when(item.isNotNull(), F.struct(rank.alias("rank"), F.when(k == "number", get(item, "double")).alias("number"), text.alias("text")))
 
 
-def canonical_json(value) -> str:
+def canonical_json(value) -> Column:
     """A literal as VARIANT's own JSON text writes it: keys in order, whole numbers without a point."""
 
     def neat(v):
-        if isinstance(v, float) and v.is_integer():
+        if isinstance(v, float) and v.is_integer() and abs(v) < 2**53:
             return int(v)
         if isinstance(v, dict):
             return {k: neat(x) for k, x in v.items()}
         return [neat(x) for x in v] if isinstance(v, list) else v
 
-    return json.dumps(neat(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return F.to_json(F.parse_json(F.lit(json.dumps(neat(value), ensure_ascii=False))))

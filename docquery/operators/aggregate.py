@@ -40,11 +40,6 @@ def summarize(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).cast("long").alias("total_bytes"))
 
 
-def merged_type(docs: DataFrame) -> DataFrame:
-    """(schema,): the type that all documents fit."""
-    return docs.agg(F.schema_of_variant_agg("doc").alias("schema"))
-
-
 def _children(item: Column) -> Column:
     """The fields of an object under their paths, or the elements of an array under its own."""
     place = lambda path, level, x, field: F.struct(path.alias("path"), level.alias("level"), x.alias("item"), F.lit(field).alias("field"))

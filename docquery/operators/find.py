@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import dataclasses
 from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docquery.errors import QueryError
 from docquery.operators import aggregate, projecting
 from docquery.plans.lower import lower
 from docquery.plans.ordering import parse_order, sort_columns
-from docquery.plans.qbe import And, Not, Or, Query, Scope, Special, parse_query
+from docquery.plans.paths import Field
+from docquery.plans.qbe import And, Not, Or, Query, Scope, Special, Test, parse_query
 
 #: Keys up to which IN is a list of literals; more are joined.
 MAX_LITERAL_KEYS = 1_000
+#: Bytes of a string in a filter of distinct and summarize.
+MAX_OPERAND_BYTES = 4_000
+#: What duality views don't take, and the error.
+DUALITY = {"$near": 5071, "$within": 5071, "$intersects": 5071, "$contains": 5072, "$sqlJson": 5073}
+#: Hints that are Spark's own; others are accepted and left aside.
+HINTS = {"broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl", "coalesce", "repartition", "repartition_by_range", "rebalance"}
 HEADERS = ("key", "version", "last_modified", "created_on", "media_type")
 
 
@@ -27,6 +36,39 @@ def _specials(node) -> list[str]:
     return [node.op] if isinstance(node, Special) else []
 
 
+def _strings(node) -> list[str]:
+    """All strings that a filter compares with."""
+    if isinstance(node, And | Or):
+        return [s for c in node.children for s in _strings(c)]
+    if isinstance(node, Not | Scope):
+        return _strings(node.child)
+    values = node.operand if isinstance(node.operand, list | tuple) else [node.operand]
+    return [v for v in values if isinstance(v, str)]
+
+
+def necessary(node, kinds: dict[str, str]) -> Column | None:
+    """A condition on the columns of `plain` that holds wherever the filter does, so that it can reach the scan; None if there is none.
+
+    kinds: member -> "text" or "number". Members are scalars there, and a null one is missing in the document.
+    """
+    if isinstance(node, And):
+        parts = [p for c in node.children if (p := necessary(c, kinds)) is not None]
+        out = parts[0] if parts else None
+        for part in parts[1:]:
+            out = out & part
+        return out
+    if isinstance(node, Scope) and isinstance(node.child, And) and len(node.path) == 1:
+        return necessary(And(tuple(dataclasses.replace(c, path=node.path) for c in node.child.children if isinstance(c, Test) and not c.path)), kinds)
+    if not isinstance(node, Test) or node.modifier or len(node.path) != 1 or not isinstance(node.path[0], Field) or node.path[0].name not in kinds:
+        return None
+    name, operand = node.path[0].name, node.operand
+    text = isinstance(operand, str)
+    if not (text or isinstance(operand, int | float) and not isinstance(operand, bool) and abs(operand) < 2**53) or (kinds[name] == "text") != text:
+        return None
+    column, value = F.col("plain")[name], F.lit(operand)
+    return {"$eq": column == value, "gt": column > value, "lt": column < value, "gte": column >= value, "lte": column <= value}.get(node.op)
+
+
 @dataclass(frozen=True)
 class Find:
     """docs: a DataFrame with key and doc, and any of content and the other header columns."""
@@ -45,6 +87,9 @@ class Find:
     headers: bool = False
     projection: dict | None = None
     hints: tuple[str, ...] = ()
+    key_direction: bool | None = None
+    locked: bool = False
+    duality: bool = False
 
     # keys: the last of key, keys, keyLike and startKey to be called holds
 
@@ -66,6 +111,15 @@ class Find:
     def start_key(self, k: str, ascending: bool = True, inclusive: bool = True) -> Find:
         return replace(self, start=(k, ascending is not False, inclusive is not False), key_list=None, like=None)
 
+    def key_order(self, ascending: bool = True) -> Find:
+        return replace(self, key_direction=ascending)
+
+    def lock(self) -> Find:
+        """Spark has no row locks: writers are told apart at the commit. The rules of use are kept."""
+        if self.n_skip is not None or self.n_limit is not None:
+            raise QueryError(2058, "lock can't be used with skip or limit")
+        return replace(self, locked=True)
+
     def version(self, v: str) -> Find:
         return replace(self, wanted_version=v)
 
@@ -79,14 +133,23 @@ class Find:
         return replace(self, since_until=(since, until, inclusive))
 
     def filter(self, spec) -> Find:
-        return replace(self, query=parse_query(spec))
+        query = parse_query(spec)
+        if self.duality and (found := [op for op in _specials(query.where) if op in DUALITY]):
+            raise QueryError(DUALITY[found[0]], f"{found[0]} can't be used on a duality view")
+        return replace(self, query=query)
 
     def skip(self, n: int) -> Find:
+        self._unlocked()
         if n < 0:
             raise QueryError(2023, "skip can't be negative")
         return replace(self, n_skip=n)
 
+    def _unlocked(self) -> None:
+        if self.locked:
+            raise QueryError(2058, "lock can't be used with skip, limit or count")
+
     def limit(self, n: int) -> Find:
+        self._unlocked()
         if n < 1:
             raise QueryError(2008, "limit is at least 1")
         return replace(self, n_limit=n)
@@ -143,8 +206,13 @@ class Find:
                 out = out & (at <= moment(until))
         if self.query:
             out = out & lower(self.query.where, F.col("doc"))
+            if "plain" in self.docs.columns and (early := necessary(self.query.where, dict(self._plain_kinds()))) is not None:
+                out = early & out
         return out
 
+    def _plain_kinds(self) -> list[tuple[str, str]]:
+        return [(f.name, "text" if isinstance(f.dataType, T.StringType) else "number") for f in self.docs.schema["plain"].dataType.fields]
+
     def order(self) -> list[Column]:
         if self.query and self.query.order is not None:
             keys, clause = parse_order(self.query.order)
@@ -152,6 +220,8 @@ class Find:
                 if [getattr(s, "name", None) for s in key.path] == ["_id"]:  # the key column; what follows can't matter
                     return [*sort_columns(keys[:k], clause, F.col("doc")), F.col("key").desc() if key.descending else F.col("key").asc()]
             out = sort_columns(keys, clause, F.col("doc"))
+        elif self.key_direction is not None:
+            return [F.col("key").asc() if self.key_direction else F.col("key").desc()]
         elif self.start:
             return [F.col("key").asc() if self.start[1] else F.col("key").desc()]
         elif self.since_until:
@@ -172,7 +242,9 @@ class Find:
     def matching(self) -> DataFrame:
         docs = self.docs
         for h in self.hints:
-            docs = docs.hint(h)
+            name, _, arguments = h.partition("(")
+            if name.strip().lower() in HINTS:
+                docs = docs.hint(name.strip(), *(int(a) if a.strip().isdecimal() else a.strip() for a in arguments.rstrip(") ").split(",") if a.strip()))
         if many := self.many_keys(docs.sparkSession):
             wanted, rest = many
             return docs.join(wanted, "key", "left_semi").filter(rest.condition)
@@ -187,6 +259,7 @@ class Find:
             out = out.offset(self.n_skip)
         if self.n_limit is not None:
             out = out.limit(self.n_limit)
+        out = out.drop("plain")
         if self.headers:
             out = out.select(*(c for c in out.columns if c in HEADERS))
         if self.projection is not None:
@@ -194,6 +267,7 @@ class Find:
         return out
 
     def count_frame(self) -> DataFrame:
+        self._unlocked()
         if self.n_skip is not None or self.n_limit is not None:
             raise QueryError(2054, "count can't be used with skip or limit")
         return self.matching().agg(F.count("*").alias("n"))
@@ -210,6 +284,8 @@ class Find:
             raise QueryError(2089, "text, spatial and $sqlJson conditions can't be used here")
         if self.query and self.query.ids is not None:
             raise QueryError(2090, "$id can't be used here")
+        if self.query and any(len(v.encode()) > MAX_OPERAND_BYTES for v in _strings(self.query.where)):
+            raise QueryError(5068, f"a string has more than {MAX_OPERAND_BYTES} bytes")
         return self.matching()
 
     def distinct(self, path: str) -> DataFrame:

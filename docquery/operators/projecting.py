@@ -121,6 +121,17 @@ def _set(doc, steps: list[str], value, replace: bool):
     return doc
 
 
+def same(a, b) -> bool:
+    """Whether two parsed JSON values are equal; true and 1 aren't."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(same(v, b[k]) for k, v in a.items())
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(same, a, b))
+    return a == b
+
+
 def apply_patch(doc, patch: list[dict]):
     """RFC 6902 on one parsed document; KeyError or ValueError where an operation doesn't apply."""
     doc = copy.deepcopy(doc)
@@ -138,7 +149,7 @@ def apply_patch(doc, patch: list[dict]):
                 doc = apply_patch(doc, [{"op": "remove", "path": step["from"]}])
             doc = _set(doc, path, value, False)
         elif op == "test":
-            if _find(doc, path) != step["value"]:
+            if not same(_find(doc, path), step["value"]):
                 raise ValueError("test failed")
         else:
             raise QueryError(2101, f"{op!r} is no patch operation")

@@ -132,7 +132,7 @@ def item_test(test: Test) -> Callable[[Column], Column]:
 
 def _value_test(item: Column, literal) -> Column:
     """Deep equality, on VARIANT's JSON text: keys ordered, trailing zeros dropped."""
-    return F.to_json(item) == F.lit(canonical_json(literal))
+    return F.to_json(item) == canonical_json(literal)
 
 
 def sure(c: Column) -> Column:

@@ -8,8 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docquery.errors import QueryError
-from docquery.functions.values import get, kind, sort_key
-from docquery.plans.lower import singleton
+from docquery.functions.values import get, is_kind, kind, moment_of, sort_key
+from docquery.plans.lower import items_at, opened, singleton
 from docquery.plans.paths import Step, Subscripts, parse_path
 
 KINDS = {"json": "json", "any": "json", "number": "number", "date": "date", "datetime": "timestamp_ntz", "string": "string", "varchar": "string", "varchar2": "string"}
@@ -81,11 +81,11 @@ def _typed(item: Column, key: Key) -> Column:
     if key.kind == "json":
         return sort_key(item)
     if key.kind == "number":
-        return F.when(kind(item) == "number", get(item, "double")).when(kind(item) == "string", get(item, "string").try_cast("double"))
+        return F.when(is_kind(item, "number"), get(item, "double")).when(is_kind(item, "string"), get(item, "string").try_cast("double"))
     text = F.when(kind(item).isin("string", "number", "boolean"), get(item, "string"))
     if key.kind == "string":
         return F.substring(text, 1, key.max_length) if key.max_length else text
-    return F.regexp_replace(text, r"(?i)z$", "").try_cast(key.kind)
+    return moment_of(text, key.kind)
 
 
 def sort_columns(keys: list[Key], clause: str | None, doc: Column) -> list[Column]:
@@ -98,7 +98,7 @@ def sort_columns(keys: list[Key], clause: str | None, doc: Column) -> list[Colum
     for key in keys:
         item = singleton(doc, key.path)
         if key.min_max:
-            elements = F.transform(F.coalesce(get(item, "array<variant>"), F.array(item)), lambda x: _typed(x, key))
+            elements = F.transform(opened(items_at(doc, key.path)), lambda x: _typed(x, key))
             out.append(F.array_max(elements).desc_nulls_last() if key.descending else F.array_min(elements).asc_nulls_first())
             continue
         value = _typed(item, key)

@@ -4,12 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def complete(column: Column, kind: T.DataType) -> Column:
+    """Whether a value and all within it are there: null members have no place in a document."""
+    out = column.isNotNull()
+    if isinstance(kind, T.StructType):
+        for f in kind.fields:
+            out = out & complete(column[f.name], f.dataType)
+    elif isinstance(kind, T.ArrayType):
+        out = out & F.forall(column, lambda x: complete(x, kind.elementType))
+    return out
 
 
 def as_documents(rows: DataFrame, key: Column, *members: Column) -> DataFrame:
-    """(key, content, doc): one document per row from its members; null members are left out."""
-    content = F.to_json(F.struct(*members))
-    return rows.select(key.cast("string").alias("key"), content.alias("content")).withColumn("doc", F.parse_json("content"))
+    """(key, content, doc, plain): one document per row from its members; null members are left out.
+
+    doc is made from the columns themselves, by way of the text only where something is null;
+    content is the text, worked out only if asked for. plain has the members that are strings or
+    numbers, for conditions that can reach the scan.
+    """
+    rows = rows.select(key.cast("string").alias("key"), F.struct(*members).alias("_members"))
+    kind = rows.schema["_members"].dataType
+    whole, text = F.col("_members"), F.to_json("_members")
+    scalars = [whole[f.name].alias(f.name) for f in kind.fields if isinstance(f.dataType, T.StringType | T.LongType | T.IntegerType | T.DoubleType)]
+    doc = F.when(complete(whole, kind), F.to_variant_object(whole)).otherwise(F.parse_json(text))
+    return rows.select("key", text.alias("content"), doc.alias("doc"), F.struct(*scalars).alias("plain") if scalars else F.lit(None).alias("plain"))
 
 
 def mapped(rows: DataFrame, key: str) -> DataFrame:
@@ -44,7 +65,7 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events; the text column props is JSON itself and becomes part of the document."""
-    members = F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ts"), "user_id", F.col("event_type").alias("type"), "value"))
+    members = F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), "user_id", F.col("event_type").alias("type"), "value"))
     content = F.concat(F.substring(members, 1, F.length(members) - 1), F.lit(',"props":'), F.coalesce("props", F.lit("null")), F.lit("}"))
     rows = _table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("key"), content.alias("content"))
     return rows.withColumn("doc", F.parse_json("content"))
