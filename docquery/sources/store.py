@@ -3,8 +3,9 @@
 Every write makes new folders and then one new manifest, created under a number that must not
 exist yet: of two writers that started from the same snapshot, one fails and can try again.
 Inserts add a folder; updates and deletes write a new folder with all rows they keep. Readers
-see one snapshot, current or past. All access is through Hadoop's file systems, so any store
-that Spark reads will do.
+see one snapshot, current or past. All access is through Hadoop's file systems. That the first of two
+writers wins needs a store on which creating a file that must not exist is one step (HDFS, a local
+disk); on object stores without it, let one writer at a time commit.
 """
 
 from __future__ import annotations
@@ -18,10 +19,13 @@ from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from docquery.errors import BatchError, QueryError
+from docquery.functions.values import get, moment_of
 from docquery.operators import projecting
 from docquery.operators.find import Find
+from docquery.plans.paths import json_path
 
 NAME = re.compile(r"[A-Za-z0-9_.$ -]{1,255}")
 SCHEMA = "key string, content string, version string, last_modified timestamp, created_on timestamp, media_type string"
@@ -38,10 +42,14 @@ class Descriptor:
     read_only: bool = False
     heterogeneous: bool = False
     indexes: tuple = ()
+    kind: str = "table"
+    media_type: str = "application/json"
 
     def __post_init__(self):
         if self.key_method not in KEYS or self.version_method not in VERSIONS:
             raise QueryError(2500, f"unknown key or version method: {self.key_method}, {self.version_method}")
+        if self.kind not in ("table", "view", "duality"):
+            raise QueryError(2500, f"unknown kind {self.kind}")
 
 
 class Files:
@@ -142,6 +150,22 @@ def canonical_key(key, method: str) -> str:
     return text
 
 
+def content_as(row: Row, kind: str = "text"):
+    """A document's content as "text", "bytes" or "value" (parsed)."""
+    if kind not in ("text", "bytes", "value"):
+        raise QueryError(2500, f"unknown kind of content {kind}")
+    return row.content if kind == "text" else row.content.encode() if kind == "bytes" else json.loads(row.content)
+
+
+@dataclass(frozen=True)
+class Written:
+    """What a bulk write did: documents that were wanted, those that were changed, and the time they now carry."""
+
+    processed: int
+    applied: int
+    at: float | None = None
+
+
 @dataclass(frozen=True)
 class Collection:
     database: Database
@@ -182,7 +206,13 @@ class Collection:
         return rows
 
     def find(self) -> Stored:
-        return Stored(self.frame(), collection=self)
+        """A find on the current snapshot; documents past the time to live of an index are left out."""
+        rows = self.frame()
+        for spec in (json.loads(text) for _, text in self.descriptor.indexes):
+            if "ttl" in spec:
+                since = moment_of(get(F.col("doc"), "string", json_path(spec["fields"][0]["path"].split("."))))
+                rows = rows.filter(since.isNull() | (since + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(spec["ttl"])) > F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())))
+        return Stored(rows, collection=self, duality=self.descriptor.kind == "duality")
 
     def find_one(self, key: str) -> Row | None:
         return self.find().key(canonical_key(key, self.descriptor.key_method)).get_one()
@@ -235,12 +265,8 @@ class Collection:
         self._writable()
         base = self.manifest()
         now = F.lit(time.time()).cast("timestamp")
-        if self.descriptor.key_method == "sequence":
-            top = self.frame(base["snapshot"] if base["folders"] else None).agg(F.max(F.col("key").cast("long"))).first()[0] or 0
-            key = F.coalesce("key", (F.monotonically_increasing_id() + 1 + top).cast("string"))
-        else:
-            key = F.coalesce("key", F.upper(F.replace(F.uuid(), F.lit("-"), F.lit(""))))
-        full = rows.select(key.alias("key"), "content", self.version_of(F.col("content")).alias("version"), now.alias("last_modified"), now.alias("created_on"), F.lit(None).cast("string").alias("media_type"))
+        rows = self._with_keys(rows, base)
+        full = rows.select("key", "content", self.version_of(F.col("content")).alias("version"), now.alias("last_modified"), now.alias("created_on"), F.lit(None).cast("string").alias("media_type"))
         folder = self.write(full)
         added = self.spark.read.parquet(f"{self.home}/{folder}")
         twice = added.groupBy("key").count().filter("count > 1").limit(1).count()
@@ -250,70 +276,143 @@ class Collection:
         self.commit(base, [*base["folders"], folder])
         return added.select("key", "version", "last_modified", "created_on")
 
-    def save(self, docs: Iterable) -> None:
-        """Insert, or replace the documents whose keys are there."""
+    def _with_keys(self, rows: DataFrame, base: dict) -> DataFrame:
+        """rows (key, content) with keys in place of null ones. Sequence keys go on from the largest, without gaps: rows are counted by partition, once they are written."""
+        if self.descriptor.key_method != "sequence":
+            return rows.withColumn("key", F.coalesce("key", F.upper(F.replace(F.uuid(), F.lit("-"), F.lit("")))))
+        at = f"{self.home}/keys-{uuid.uuid4().hex}"
+        rows.withColumn("_at", F.when(F.col("key").isNull(), F.monotonically_increasing_id())).withColumn("_part", F.spark_partition_id()).write.parquet(at)
+        rows = self.spark.read.parquet(at)
+        old = self.frame(base["snapshot"] if base["folders"] else None)
+        top = max(df.agg(F.max(F.col("key").cast("long"))).first()[0] or 0 for df in (old, rows))
+        counts = rows.filter("_at is not null").groupBy("_part").agg(F.count("*").alias("_n"))
+        before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        inside = F.row_number().over(Window.partitionBy("_part", F.col("_at").isNull()).orderBy("_at"))
+        numbered = rows.withColumn("_in", inside).join(F.broadcast(counts.select("_part", before.alias("_before"))), "_part", "left")  # one row a partition
+        return numbered.select(F.coalesce("key", (F.col("_before") + F.col("_in") + top).cast("string")).alias("key"), "content")
+
+    def insert_and_get(self, docs: Iterable) -> DataFrame:
+        """The headers of the documents inserted."""
+        return self.insert(docs)
+
+    def save_and_get(self, docs: Iterable) -> DataFrame:
+        """The headers of the documents saved."""
+        at = self.save(docs)
+        return self.frame().filter(F.col("last_modified") == F.lit(at).cast("timestamp")).select("key", "version", "last_modified", "created_on", "media_type")
+
+    def save(self, docs: Iterable) -> float:
+        """Insert, or replace the documents whose keys are there; of documents with one key the last one holds. The time that they carry."""
         self._writable()
         base = self.manifest()
-        now = F.lit(time.time()).cast("timestamp")
-        rows = self.spark.createDataFrame(self._new_rows(docs), "key string, content string").withColumn("key", F.coalesce("key", F.upper(F.replace(F.uuid(), F.lit("-"), F.lit("")))))
+        at = time.time()
+        now = F.lit(at).cast("timestamp")
+        named: dict = {}
+        for n, (key, content) in enumerate(self._new_rows(docs)):
+            named.pop(key, None)
+            named[key if key is not None else n] = (key, content)
+        rows = self._with_keys(self.spark.createDataFrame(list(named.values()), "key string, content string"), base)
         old = self.frame(base["snapshot"] if base["folders"] else None)
         new = rows.join(old.select("key", F.col("version").alias("_v"), F.col("created_on").alias("_c")), "key", "left").select(
             "key", "content", self.version_of(F.col("content"), F.col("_v")).alias("version"), now.alias("last_modified"), F.coalesce("_c", now).alias("created_on"), F.lit(None).cast("string").alias("media_type")
         )
         kept = old.join(rows.select("key"), "key", "left_anti").select(*new.columns)
         self.commit(base, [self.write(kept.unionByName(new))])
+        return at
 
     def truncate(self) -> None:
+        if self.descriptor.kind != "table":
+            raise QueryError(3000, "only tables can be truncated")
         self._writable()
         self.commit(self.manifest(), [])
 
-    def rewrite(self, wanted: Find, content: Column | None) -> int:
-        """Replace the contents of wanted rows, or drop them if content is None; how many rows that was."""
+    def rewrite(self, wanted: Find, content: Column | None) -> Written:
+        """Replace the contents of wanted rows, or drop them if content is None. Folders without such rows stay as they are."""
         self._writable()
-        base = self.manifest()
-        rows = self.frame(base["snapshot"] if base["folders"] else None)
-        if many := wanted.many_keys(self.spark):
-            named, wanted = many
-            rows = rows.join(named.withColumn("_named", F.lit(True)), "key", "left")
-            hit = F.col("_named").isNotNull() & wanted.condition
-        else:
-            hit = wanted.condition
-        rows = rows.withColumn("_hit", F.coalesce(hit, F.lit(False)))
-        if content is None:
-            n = rows.filter("_hit").count()
-            if n:
-                self.commit(base, [self.write(rows.filter("not _hit"))])
-            return n
-        rows = rows.withColumn("_new", F.when(F.col("_hit"), content))
-        n = rows.filter("_new is not null").count()
-        if n:
-            hit = F.col("_new").isNotNull()
-            now = F.lit(time.time()).cast("timestamp")
-            changed = rows.withColumns({
-                "version": F.when(hit, self.version_of(F.col("_new"), F.col("version"))).otherwise(F.col("version")),
-                "last_modified": F.when(hit, now).otherwise(F.col("last_modified")),
-                "content": F.coalesce("_new", "content"),
-            })
-            self.commit(base, [self.write(changed)])
-        return n
+        base, at = self.manifest(), time.time()
+        many = wanted.many_keys(self.spark)
+        named, wanted = many or (None, wanted)
+        folders, processed, applied = [], 0, 0
+        for folder in base["folders"]:
+            rows = self.spark.read.schema(SCHEMA + ", doc variant").parquet(f"{self.home}/{folder}")
+            if many:
+                rows = rows.join(named.withColumn("_named", F.lit(True)), "key", "left")
+                hit = F.col("_named").isNotNull() & wanted.condition
+            else:
+                hit = wanted.condition
+            rows = rows.withColumn("_hit", F.coalesce(hit, F.lit(False)))
+            if content is not None:
+                rows = rows.withColumn("_new", F.when(F.col("_hit"), content))
+            changed = F.col("_hit") if content is None else F.col("_new").isNotNull()
+            got = rows.filter("_hit").agg(F.count("*").alias("n"), F.coalesce(F.sum(changed.cast("long")), F.lit(0)).alias("changed")).first()
+            processed, applied = processed + got.n, applied + got.changed
+            if not got.changed:
+                folders.append(folder)
+            elif content is None:
+                folders.append(self.write(rows.filter("not _hit")))
+            else:
+                now = F.lit(at).cast("timestamp")
+                folders.append(self.write(rows.withColumns({
+                    "version": F.when(changed, self.version_of(F.col("_new"), F.col("version"))).otherwise(F.col("version")),
+                    "last_modified": F.when(changed, now).otherwise(F.col("last_modified")),
+                    "media_type": F.when(changed, F.lit(self.descriptor.media_type)).otherwise(F.col("media_type")),
+                    "content": F.coalesce("_new", "content"),
+                })))
+        if applied:
+            self.commit(base, folders)
+        return Written(processed, applied, at)
 
     # metadata
 
-    def add_index(self, spec: dict) -> Collection:
-        """Keep an index's specification; it is a hint for layouts, as Spark has no secondary indexes."""
-        if not spec.get("name") or not (spec.get("fields") or spec.get("spatial") or "search_on" in spec or "dataguide" in spec):
-            raise QueryError(5042, "an index needs a name, and fields, spatial or search options")
-        new = replace(self.descriptor, indexes=(*(i for i in self.descriptor.indexes if i[0] != spec["name"]), (spec["name"], json.dumps(spec))))
+    def _described(self, indexes: tuple) -> Collection:
+        new = replace(self.descriptor, indexes=indexes)
         self.database.files.delete(f"{self.home}/descriptor.json")
         self.database.files.create(f"{self.home}/descriptor.json", json.dumps(asdict(new)))
         return replace(self, descriptor=new)
 
+    def add_index(self, spec: dict) -> Collection:
+        """Keep an index's specification. unique and scalarRequired are checked over all documents; ttl (seconds) hides documents on reads; the rest is a hint, as Spark has no secondary indexes."""
+        if not spec.get("name") or not (spec.get("fields") or spec.get("spatial") or "search_on" in spec or "dataguide" in spec):
+            raise QueryError(5042, "an index needs a name, and fields, spatial or search options")
+        if spec.get("fields") and (spec.get("spatial") or "search_on" in spec):
+            raise QueryError(5066, "fields can't stand beside spatial or search options")
+        if spec.get("lax") and spec.get("scalarRequired"):
+            raise QueryError(5059, "lax and scalarRequired exclude each other")
+        if spec.get("multivalue") and len(spec.get("fields", ())) != 1:
+            raise QueryError(2100, "a multivalue index has one path")
+        values = [get(F.col("doc"), "string", json_path(f["path"].split("."))) for f in spec.get("fields", ())]
+        rows = self.frame().select(*(v.alias(f"f{k}") for k, v in enumerate(values)))
+        if spec.get("scalarRequired") and not rows.filter(" or ".join(f"{c} is null" for c in rows.columns)).isEmpty():
+            raise QueryError(5059, "a document lacks a field of the index")
+        if spec.get("unique") and not rows.dropna(how="all").groupBy(*rows.columns).count().filter("count > 1").isEmpty():
+            raise QueryError(5059, "documents share the values of a unique index")
+        return self._described((*(i for i in self.descriptor.indexes if i[0] != spec["name"]), (spec["name"], json.dumps(spec))))
+
+    def indexes(self) -> list[dict]:
+        return [json.loads(text) for _, text in self.descriptor.indexes]
+
+    def drop_index(self, name: str) -> tuple[Collection, bool]:
+        """The collection without the index, and whether there was one."""
+        left = tuple(i for i in self.descriptor.indexes if i[0] != name)
+        return self._described(left), len(left) < len(self.descriptor.indexes)
+
 
 @dataclass(frozen=True)
 class Stored(Find):
     """A find that can also write. As in the reference's interface, start keys don't narrow writes."""
 
     collection: Collection | None = None
+    version_errors: bool = False
+
+    def key(self, k: str) -> Stored:
+        return super().key(canonical_key(k, self.collection.descriptor.key_method) if k is not None else k)
+
+    def key_like(self, pattern: str, escape: str | None = None) -> Stored:
+        if self.collection.descriptor.key_method != "client":
+            raise QueryError(2052, "key_like needs keys that clients assign")
+        return super().key_like(pattern, escape)
+
+    def error_on_version_mismatch(self, on: bool = True) -> Stored:
+        return replace(self, version_errors=on)
 
     def _wanted(self) -> Find:
         return replace(self, start=None)
@@ -322,35 +421,79 @@ class Stored(Find):
         if not self.key_list or len(self.key_list) != 1:
             raise QueryError(2022, "this needs key()")
 
+    def _written(self, content: Column | None) -> Written:
+        done = self.collection.rewrite(self._wanted(), content)
+        if self.version_errors and self.wanted_version is not None and not done.applied and self.collection.find_one(self.key_list[0] if self.key_list else ""):
+            raise QueryError(2107, "the document has another version")
+        return done
+
+    def _got(self, done: Written) -> DataFrame:
+        """The documents that a write changed, with their new versions."""
+        return self.collection.frame().filter(F.col("last_modified") == F.lit(done.at).cast("timestamp")) if done.applied else self.collection.frame().limit(0)
+
+    def _got_one(self, done: Written) -> Row | None:
+        return self.collection.find_one(self.key_list[0]) if done.applied else None
+
     def remove(self) -> int:
-        return self.collection.rewrite(self._wanted(), None)
+        return self._written(None).applied
 
-    def replace(self, doc) -> int:
+    def _replaced(self, doc) -> Written:
         text = _text(doc)
-        json.loads(text)
-        return self.collection.rewrite(self._wanted(), F.lit(text))
+        parsed = json.loads(text)
+        if self.collection.descriptor.key_method == "embedded_oid" and (not isinstance(parsed, dict) or "_id" not in parsed):
+            raise QueryError(2105, "a replacement needs the document's _id")
+        return self._written(F.lit(text))
+
+    def replace(self, doc) -> int:
+        return self._replaced(doc).applied
 
     def replace_one(self, doc) -> bool:
         self._one()
         return self.replace(doc) > 0
 
+    def replace_one_and_get(self, doc) -> Row | None:
+        self._one()
+        return self._got_one(self._replaced(doc))
+
     def _guard(self, names: Iterable[str], code: int) -> None:
         if self.collection.descriptor.key_method == "embedded_oid" and "_id" in names:
             raise QueryError(code, "_id can't be changed")
 
-    def merge(self, patch: dict) -> int:
+    def merge_counted(self, patch: dict) -> Written:
+        """How many documents were wanted, and how many the patch changed."""
         self._guard(patch, 2104)
-        return self.collection.rewrite(self._wanted(), F.to_json(projecting.merge_patch(F.col("doc"), patch)))
+        return self._written(F.to_json(projecting.merge_patch(F.col("doc"), patch)))
+
+    def merge(self, patch: dict) -> int:
+        return self.merge_counted(patch).applied
+
+    def merge_and_get(self, patch: dict) -> DataFrame:
+        return self._got(self.merge_counted(patch))
 
     def merge_one(self, patch: dict) -> bool:
         self._one()
         return self.merge(patch) > 0
 
+    def merge_one_and_get(self, patch: dict) -> Row | None:
+        self._one()
+        return self._got_one(self.merge_counted(patch))
+
+    def patch_counted(self, steps: list[dict]) -> Written:
+        """JSON Patch; documents it doesn't apply to stay as they are and count as wanted only."""
+        touched = [s[k] for s in steps for k in ("path", "from") if k in s and s["op"] != "test" and not (k == "from" and s["op"] == "copy")]
+        self._guard(["_id" if t == "" else t.split("/")[1] for t in touched if t == "" or t.count("/")], 2106)
+        return self._written(F.to_json(projecting.json_patch(F.col("doc"), steps)))
+
     def patch(self, steps: list[dict]) -> int:
-        """JSON Patch; documents it doesn't apply to stay as they are and aren't counted."""
-        self._guard((s["path"].split("/")[1] for s in steps if s["path"].count("/") and s["op"] != "test"), 2106)
-        return self.collection.rewrite(self._wanted(), F.to_json(projecting.json_patch(F.col("doc"), steps)))
+        return self.patch_counted(steps).applied
+
+    def patch_and_get(self, steps: list[dict]) -> DataFrame:
+        return self._got(self.patch_counted(steps))
 
     def patch_one(self, steps: list[dict]) -> bool:
         self._one()
         return self.patch(steps) > 0
+
+    def patch_one_and_get(self, steps: list[dict]) -> Row | None:
+        self._one()
+        return self._got_one(self.patch_counted(steps))
