@@ -266,6 +266,12 @@ class Find:
             out = out.withColumn("doc", projecting.project(F.col("doc"), self.projection)).filter("doc is not null").drop("content")
         return out
 
+    def fragment(self, offset: int, length: int) -> DataFrame:
+        """(key, fragment) of the documents: `length` bytes of the content from a place on (from 0)."""
+        if offset < 0 or length < 0:
+            raise QueryError(2023, "offset and length can't be negative")
+        return self.matching().select("key", F.substring(F.col("content").cast("binary"), offset + 1, length).cast("string").alias("fragment"))
+
     def count_frame(self) -> DataFrame:
         self._unlocked()
         if self.n_skip is not None or self.n_limit is not None:

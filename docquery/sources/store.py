@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+import tempfile
 import time
 import uuid
 from collections.abc import Iterable
@@ -52,6 +53,14 @@ class Descriptor:
             raise QueryError(2500, f"unknown kind {self.kind}")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A folder for collections that are made for one run: spark.checkpoint.dir, which all executors share; a local session may do without."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return at or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
 class Files:
     """The few file operations that a catalog needs, on the store of a folder."""
 
