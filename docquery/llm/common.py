@@ -143,8 +143,9 @@ def sampled(df: DataFrame, bound: int, key: str = "doc_id", seed: int = 7) -> Da
 
 
 def held(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labels (one narrow row per doc_id) whose doc_id is in docs. Ids alone are shuffled, no texts."""
-    return labels.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    """The labels (one narrow row per doc_id) whose doc_id is in docs, as it is there. Ids alone are shuffled, no texts."""
+    own = F.col("doc_id").try_cast(docs.schema["doc_id"].dataType)
+    return labels.withColumn("doc_id", own).filter("doc_id is not null").join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
 
 
 def fetched(docs: DataFrame, picked: DataFrame) -> DataFrame:

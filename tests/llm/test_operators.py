@@ -339,3 +339,67 @@ def test_languages_in_several_parts(spark):
     one, two, full = say(whole), say(parts), say(langid.fit_langid(docs, least=1))
     assert {k: v[0] for k, v in one.items()} == {k: v[0] for k, v in two.items()}
     assert sum(one[k][0] == full[k][0] for k in one) >= 0.99 * len(one)
+
+
+@pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
+def test_stages_with_clashing_and_dotted_columns(spark, tables, stage):
+    """Columns named like the operators' own, and with dots, pass through; ids are texts; repeated rows stay rows."""
+    rows = [("a", "one two three four five six", "s", 1, 7.5), ("a", "seven eight nine ten eleven twelve", "s", 2, 7.5), (None, "token=abcdefghijkl0123", None, 3, None), ("b", None, "t", 4, 1.0), ("c", "", "t", 5, 1.0)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string, `m.x` int, toxicity double")
+    for name in ("_file", "_row", "_position", "_secret_runs", "toxic_predicted", "fp"):
+        docs = docs.withColumn(name, F.lit(name))
+    got = corpus_pipeline.STAGES[stage][1](spark, docs, tables["none"])
+    if stage == len(corpus_pipeline.STAGES) - 1:
+        assert got.columns == ["doc_id", "n_tokens", "ids"] and got.count() == len(rows)
+        return
+    found = got.collect()
+    assert got.columns == docs.columns and all(r["_file"] == "_file" and r["fp"] == "fp" for r in found)
+    kept = {r["m.x"]: r for r in found}
+    assert {1, 2, 3} <= set(kept) and kept[1]["toxicity"] == 7.5 and kept[1]["text"] == rows[0][1]
+    assert ("[secret]" in kept[3]["text"]) == (corpus_pipeline.STAGES[stage][0] == "secret_scans")
+
+
+def test_positions_against_a_slow_curriculum(spark):
+    """Places are running sums in a fixed order, positions the roots of the integrated schedule; repeated ids share a group."""
+    rng = random.Random(13)
+    rows = [(None if k % 40 == 0 else k % 90, "w " * rng.randint(0, 9), rng.choice(["a", "b", "c"])) for k in range(400)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(rows)
+    for source in "abc":
+        own = sorted((r for r in got if r.source == source), key=lambda r: (r.place, r.size))
+        upto = 0
+        for r in own:
+            assert r.place == upto and (r.taken == r.passes * r.size)
+            upto += r.size
+        assert upto == own[0].source_size
+        for r in own:
+            if r.passes:
+                g, t, u = r.slope, r.position, min(1.0, r.place / r.target)
+                assert (1 - g) * t + g * t * t == pytest.approx(u, abs=1e-6)
+
+
+def slow_isotonic(margin, y):
+    """Isotonic means by min-max formula over the distinct margins."""
+    at = sorted(set(margin))
+    means = [[y[k] for k in range(len(y)) if margin[k] == a] for a in at]
+    mean = lambda i, j: sum(map(sum, means[i : j + 1])) / sum(map(len, means[i : j + 1]))
+    return [max(min(mean(i, j) for j in range(k, len(at))) for i in range(k + 1)) for k in range(len(at))]
+
+
+def test_toxicity_features_and_calibration_by_brute_force():
+    weights = {"vile": 3.0, "nast~": 2.5}
+    for text in ("You are vile, VILE and nastiest! br0ken", "", None, "nothing here", "you " + "x " * 9 + "vile idiot"):
+        words = re.findall(r"[^\W_]+", (text or "").lower())
+        weight = [max([weights.get(k, 0.0) for k in (w, *(w[:n] + "~" for n in (4, 5, 6) if len(w) > n))]) for w in words]
+        hits = [i for i, v in enumerate(weight) if v > 0]
+        second = [i for i, w in enumerate(words) if w in toxicity.SECOND_PERSON]
+        got = dict(zip(toxicity.FEATURES, toxicity.features(text, toxicity.Marks(weights)), strict=True))
+        assert got["lexicon_hits"] == len(hits) and got["lexicon_peak"] == max(weight, default=0)
+        assert got["near_second_person"] == sum(any(abs(i - j) <= toxicity.NEAR for j in second) for i in hits)
+        assert got["insult_hits"] == sum(w in toxicity.INSULTS for w in words)
+    rng = np.random.default_rng(4)
+    margin = np.round(rng.normal(size=80), 1)
+    y = (rng.random(80) < 1 / (1 + np.exp(-margin))).astype(float)
+    fitted = toxicity.fit_isotonic(margin, y)
+    pooled = slow_isotonic(margin.tolist(), y.tolist())
+    assert len(fitted.levels) == len(set(np.round(pooled, 12)))
