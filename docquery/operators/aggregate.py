@@ -7,31 +7,31 @@ from pyspark.sql import functions as F
 
 from docquery.errors import QueryError
 from docquery.functions.values import canonical_text, get, kind, sort_key
-from docquery.plans.lower import items_at, opened
+from docquery.plans.lower import Root, items_at, opened
 from docquery.plans.paths import Subscripts, parse_path
 
 #: Levels of containers that a data guide opens before it looks for more.
 STEPS = 8
 
 
-def _values(docs: DataFrame, path: str) -> DataFrame:
+def _values(docs: DataFrame, path: str, root: Root | None = None) -> DataFrame:
     steps = parse_path(path)
     if any(isinstance(s, Subscripts) for s in steps):
         raise QueryError(2091, "a path of distinct takes no array steps")
-    return docs.select(F.explode(opened(items_at(F.col("doc"), steps))).alias("item"))
+    return docs.select(F.explode(opened(items_at(root or F.col("doc"), steps))).alias("item"))
 
 
-def distinct(docs: DataFrame, path: str) -> DataFrame:
+def distinct(docs: DataFrame, path: str, root: Root | None = None) -> DataFrame:
     """(kind, value, n): every value at the path, arrays opened, and how many items have it; containers by their JSON."""
-    rows = _values(docs, path)
+    rows = _values(docs, path, root)
     item = F.col("item")
     value = F.when(kind(item).isin("array", "object", "other"), F.to_json(item)).otherwise(canonical_text(item))
     return rows.select(kind(item).alias("kind"), value.alias("value")).groupBy("kind", "value").agg(F.count("*").alias("n"))
 
 
-def distinct_strict(docs: DataFrame, path: str) -> DataFrame:
+def distinct_strict(docs: DataFrame, path: str, root: Root | None = None) -> DataFrame:
     """(item,): distinct JSON values at the path, equal as the sort order of all types has them."""
-    rows = _values(docs, path).withColumn("_k", sort_key(F.col("item")))
+    rows = _values(docs, path, root).withColumn("_k", sort_key(F.col("item")))
     return rows.groupBy("_k").agg(F.first(F.to_json("item")).alias("item")).select("item")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from docquery.errors import QueryError
 from docquery.operators import aggregate, projecting
-from docquery.plans.lower import lower
+from docquery.plans.lower import Root, lower
 from docquery.plans.ordering import parse_order, sort_columns
 from docquery.plans.paths import Field
 from docquery.plans.qbe import And, Not, Or, Query, Scope, Special, Test, parse_query
@@ -205,11 +205,16 @@ class Find:
             if until is not None:
                 out = out & (at <= moment(until))
         if self.query:
-            out = out & lower(self.query.where, F.col("doc"))
+            out = out & lower(self.query.where, self._root())
             if "plain" in self.docs.columns and (early := necessary(self.query.where, dict(self._plain_kinds()))) is not None:
                 out = early & out
         return out
 
+    def _root(self) -> Root:
+        """The document, with its members apart if the collection has them."""
+        names = [f.name for f in self.docs.schema["members"].dataType.fields] if "members" in self.docs.columns else []
+        return Root(F.col("doc"), {n: F.col("members")[n] for n in names})
+
     def _plain_kinds(self) -> list[tuple[str, str]]:
         return [(f.name, "text" if isinstance(f.dataType, T.StringType) else "number") for f in self.docs.schema["plain"].dataType.fields]
 
@@ -218,8 +223,8 @@ class Find:
             keys, clause = parse_order(self.query.order)
             for k, key in enumerate(keys):
                 if [getattr(s, "name", None) for s in key.path] == ["_id"]:  # the key column; what follows can't matter
-                    return [*sort_columns(keys[:k], clause, F.col("doc")), F.col("key").desc() if key.descending else F.col("key").asc()]
-            out = sort_columns(keys, clause, F.col("doc"))
+                    return [*sort_columns(keys[:k], clause, self._root()), F.col("key").desc() if key.descending else F.col("key").asc()]
+            out = sort_columns(keys, clause, self._root())
         elif self.key_direction is not None:
             return [F.col("key").asc() if self.key_direction else F.col("key").desc()]
         elif self.start:
@@ -259,7 +264,7 @@ class Find:
             out = out.offset(self.n_skip)
         if self.n_limit is not None:
             out = out.limit(self.n_limit)
-        out = out.drop("plain")
+        out = out.drop("plain", "members")
         if self.headers:
             out = out.select(*(c for c in out.columns if c in HEADERS))
         if self.projection is not None:
@@ -295,10 +300,10 @@ class Find:
         return self.matching()
 
     def distinct(self, path: str) -> DataFrame:
-        return aggregate.distinct(self._plain(), path)
+        return aggregate.distinct(self._plain(), path, self._root())
 
     def distinct_strict(self, path: str) -> DataFrame:
-        return aggregate.distinct_strict(self._plain(), path)
+        return aggregate.distinct_strict(self._plain(), path, self._root())
 
     def summarize(self) -> DataFrame:
         return aggregate.summarize(self._plain())

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column
@@ -24,6 +25,24 @@ from docquery.plans.paths import Bound, Descend, Field, Step, Subscripts, Wildca
 from docquery.plans.qbe import REGEXES, And, Not, Or, Scope, Special, Test
 
 
+@dataclass(frozen=True)
+class Root:
+    """A document and, where its collection has them, its members as items of their own."""
+
+    doc: Column
+    members: dict[str, Column]
+
+
+def at_names(item: Column | Root, kind: str, names: list[str]) -> Column:
+    """What a path of field names, not empty, reads from an item or a document."""
+    if isinstance(item, Root):
+        if names[0] in item.members:
+            member = item.members[names[0]]
+            return member if len(names) == 1 and kind == "variant" else get(member, kind, json_path(names[1:]))
+        item = item.doc
+    return get(item, kind, json_path(names))
+
+
 def present(items: Column) -> Column:
     return F.filter(items, lambda x: x.isNotNull())
 
@@ -72,12 +91,12 @@ def step_into(items: Column, step: Step) -> Column:
     return F.flatten(F.transform(items, lambda x: _chosen(x, step)))
 
 
-def items_at(item: Column, path: tuple[Step, ...]) -> Column:
+def items_at(item: Column | Root, path: tuple[Step, ...]) -> Column:
     """Array of the items that a path reaches from one item, arrays at its end not opened."""
     if path and isinstance(path[0], Field):
-        items, path = present(F.array(get(item, "variant", json_path([path[0].name])))), path[1:]
+        items, path = present(F.array(at_names(item, "variant", [path[0].name]))), path[1:]
     else:
-        items = F.array(item)
+        items = F.array(item.doc if isinstance(item, Root) else item)
     for step in path:
         items = step_into(items, step)
     return items
@@ -139,7 +158,7 @@ def sure(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def lower(node, item: Column) -> Column:
+def lower(node, item: Column | Root) -> Column:
     """The column, true or false and never null, that says whether an item meets a node. $sqlJson and spatial leaves may be null."""
     if isinstance(node, And):
         return _all([lower(c, item) for c in node.children])
@@ -162,18 +181,18 @@ def lower(node, item: Column) -> Column:
     return sure(F.exists(items if whole else opened(items), lambda x: sure(of(x))))
 
 
-def singleton(item: Column, path: tuple[Step, ...]) -> Column:
+def singleton(item: Column | Root, path: tuple[Step, ...]) -> Column:
     """The one item of a path, array steps ignored; null if missing."""
-    return get(item, "variant", json_path([s.name for s in path if isinstance(s, Field)]))
+    return at_names(item, "variant", [s.name for s in path if isinstance(s, Field)])
 
 
-def special(node: Special, item: Column) -> Column:
+def special(node: Special, item: Column | Root) -> Column:
     if node.op == "$sqlJson":
-        path = json_path([s.name for s in node.path if isinstance(s, Field)])
+        names = [s.name for s in node.path if isinstance(s, Field)]
         tests = []
         for op, v in node.operand:
             kind = "double" if isinstance(v, int | float) and not isinstance(v, bool) else "boolean" if isinstance(v, bool) else "string"
-            left = get(item, kind, path)
+            left = at_names(item, kind, names)
             right = F.lit(float(v) if kind == "double" else v)
             name = {"$ge": "$gte", "$le": "$lte"}.get(op, op)
             tests.append(

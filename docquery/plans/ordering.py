@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docquery.errors import QueryError
 from docquery.functions.values import get, is_kind, kind, moment_of, sort_key
-from docquery.plans.lower import items_at, opened, singleton
+from docquery.plans.lower import Root, items_at, opened, singleton
 from docquery.plans.paths import Step, Subscripts, parse_path
 
 KINDS = {"json": "json", "any": "json", "number": "number", "date": "date", "datetime": "timestamp_ntz", "string": "string", "varchar": "string", "varchar2": "string"}
@@ -88,7 +88,7 @@ def _typed(item: Column, key: Key) -> Column:
     return moment_of(text, key.kind)
 
 
-def sort_columns(keys: list[Key], clause: str | None, doc: Column) -> list[Column]:
+def sort_columns(keys: list[Key], clause: str | None, doc: Column | Root) -> list[Column]:
     """Missing values come last when ascending and first when descending; sortByMinMax is the other way round.
 
     Strict clauses fail the query on a container or a value of another type, and scalar_required

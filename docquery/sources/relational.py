@@ -18,19 +18,36 @@ def complete(column: Column, kind: T.DataType) -> Column:
     return out
 
 
+def is_json(kind: T.DataType) -> bool:
+    """Whether JSON text keeps values of the type as they are, as VARIANT does."""
+    if isinstance(kind, T.StructType):
+        return all(is_json(f.dataType) for f in kind.fields)
+    return is_json(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, T.StringType | T.LongType | T.IntegerType | T.DoubleType | T.BooleanType)
+
+
+def as_variant(value: Column, kind: T.DataType) -> Column:
+    """A value as VARIANT, NULL if it is null; by way of its text where something within is null."""
+    if not isinstance(kind, T.StructType | T.ArrayType):
+        return value.cast("variant")
+    return F.when(complete(value, kind), F.to_variant_object(value)).otherwise(F.parse_json(F.to_json(value)))
+
+
 def as_documents(rows: DataFrame, key: Column, *members: Column) -> DataFrame:
-    """(key, content, doc, plain): one document per row from its members; null members are left out.
+    """(key, content, doc, plain, members): one document per row from its members; null members are left out.
 
     doc is made from the columns themselves, by way of the text only where something is null;
     content is the text, worked out only if asked for. plain has the members that are strings or
-    numbers, for conditions that can reach the scan.
+    numbers, for conditions that can reach the scan; members has all of them as items of their
+    own, so that a filter makes no more of the document than it looks at.
     """
     rows = rows.select(key.cast("string").alias("key"), F.struct(*members).alias("_members"))
     kind = rows.schema["_members"].dataType
     whole, text = F.col("_members"), F.to_json("_members")
-    scalars = [whole[f.name].alias(f.name) for f in kind.fields if isinstance(f.dataType, T.StringType | T.LongType | T.IntegerType | T.DoubleType)]
-    doc = F.when(complete(whole, kind), F.to_variant_object(whole)).otherwise(F.parse_json(text))
-    return rows.select("key", text.alias("content"), doc.alias("doc"), F.struct(*scalars).alias("plain") if scalars else F.lit(None).alias("plain"))
+    if not is_json(kind):
+        return rows.select("key", text.alias("content"), F.parse_json(text).alias("doc"))
+    scalars = [whole[f.name].alias(f.name) for f in kind.fields if not isinstance(f.dataType, T.StructType | T.ArrayType | T.BooleanType)]
+    items = F.struct(*(as_variant(whole[f.name], f.dataType).alias(f.name) for f in kind.fields)).alias("members")
+    return rows.select("key", text.alias("content"), as_variant(whole, kind).alias("doc"), *([F.struct(*scalars).alias("plain")] if scalars else []), items)
 
 
 def mapped(rows: DataFrame, key: str) -> DataFrame:
