@@ -42,7 +42,7 @@ def summarize(docs: DataFrame) -> DataFrame:
 
 def _children(item: Column) -> Column:
     """The fields of an object under their paths, or the elements of an array under its own."""
-    place = lambda path, level, x, field: F.struct(path.alias("path"), level.alias("level"), x.alias("item"), F.lit(field).alias("field"))
+    place = lambda path, level, x, field: F.struct(path.alias("path"), level.alias("level"), x.alias("item"), F.lit(field).alias("field"), kind(x).alias("kind"))
     fields = F.transform(F.map_entries(get(item["item"], "map<string,variant>")), lambda e: place(F.concat_ws(".", item["path"], e["key"]), item["level"] + 1, e["value"], True))
     elements = F.transform(get(item["item"], "array<variant>"), lambda x: place(item["path"], item["level"], x, False))
     return F.coalesce(fields, elements)
@@ -56,14 +56,14 @@ def data_guide(docs: DataFrame, depth: int | None = None) -> DataFrame:
     """
 
     def inner(x: Column) -> Column:
-        within = kind(x["item"]).isin("array", "object")
+        within = x["kind"].isin("array", "object")
         return within if depth is None else within & (x["level"] < depth)
 
     def fact(x: Column) -> Column:
-        length = F.length(F.when(kind(x["item"]) == "string", get(x["item"], "string")))
-        return F.struct(x["path"].alias("path"), kind(x["item"]).alias("kind"), length.alias("length"))
+        length = F.length(F.when(x["kind"] == "string", get(x["item"], "string")))
+        return F.struct(x["path"].alias("path"), x["kind"].alias("kind"), length.alias("length"))
 
-    first = F.struct(F.lit("$").alias("path"), F.lit(0).alias("level"), F.col("doc").alias("item"), F.lit(False).alias("field"))
+    first = F.struct(F.lit("$").alias("path"), F.lit(0).alias("level"), F.col("doc").alias("item"), F.lit(False).alias("field"), kind(F.col("doc")).alias("kind"))
     level = docs.select(F.filter(F.array(first), inner).alias("open"))
     found = None
     while True:
