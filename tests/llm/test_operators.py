@@ -156,6 +156,42 @@ def test_shards(spark, odd):
     assert sorted((r.size, r.text_crc32) for r in rows) == want
 
 
+def test_equal_texts_follow_each_other(spark):
+    """Copies with other languages, sources and ids are neighbours."""
+    rng = random.Random(21)
+    rows = [(k, " ".join(rng.choices("abcdefgh", k=rng.choice([3, 30, 300]))), f"l{rng.randrange(6)}", f"s{rng.randrange(6)}") for k in range(200)]
+    rows += [(rng.randrange(900), rows[k][1], rng.choice([None, "l0", "l5"]), rng.choice([None, "s0", "s5"])) for k in [1, 2, 3, 4] * 10]
+    text = {zlib.crc32(t.encode()): t for _, t, _, _ in rows}
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)).collect()
+    assert sorted((r.doc_id, text[r.text_crc32], r.lang or "", r.source or "") for r in got) == sorted((i, t, a or "", s or "") for i, t, a, s in rows)
+    order = [r.text_crc32 for r in sorted(got, key=lambda r: (r.shard, r.slot))]
+    assert sum(a != b for a, b in zip(order, order[1:])) == len(set(order)) - 1
+
+
+def test_shards_prune_in_every_dimension(spark):
+    """Of 64 shards, one value of a language, a source or a size class lies in half at most; by hash it lies in nearly all."""
+    rng = random.Random(22)
+    rows = [(k, f"{k:08d}" + "x" * rng.choice([10, 100, 1000, 10_000]), f"l{rng.randrange(4)}", f"s{rng.randrange(4)}") for k in range(3000)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 64).collect()
+    for name in ("lang", "source", "size"):
+        values = {r[name] for r in got}
+        assert all(len({r.shard for r in got if r[name] == v}) <= 32 < 50 < len({r.doc_id * 7919 % 64 for r in got if r[name] == v}) for v in values)
+
+
+def test_written_shards(spark, odd, tmp_path):
+    """Files hold every row once, under its own columns, in the shard and the order that the ranking gives."""
+    docs = odd.withColumn("a.b", F.col("rank")).withColumn("_slot", F.lit("own"))
+    sharding.write_shards(docs, f"{tmp_path}/out")
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert [c for c in back.columns if c != "shard"] == docs.columns
+    plain = lambda df: sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "", r["lang"] or "", r["a.b"], r["_slot"]) for r in df.collect())
+    assert plain(back) == plain(docs)
+    want = sorted((r.shard, r.size) for r in sharding.shard_documents(odd).collect())
+    assert sorted((r.shard, len((r.text or "").encode()) + 1) for r in back.select("shard", "text").collect()) == want
+    with pytest.raises(ValueError):
+        sharding.write_shards(docs.withColumn("Shard", F.lit(1)), f"{tmp_path}/no")
+
+
 def test_top_k_against_all_scores(spark):
     """Copies of vectors, and ids that repeat with other vectors."""
     rng = np.random.default_rng(3)
