@@ -114,9 +114,9 @@ def upper_tail(z: Column) -> Column:
 
 
 def encoding_of(value: Column) -> Column:
-    """Name of the narrowest alphabet that holds the value; null for mere numbers and words of one case."""
+    """Name of the narrowest alphabet that holds the value; null for mere numbers, words of one case and nothing at all (a run of = signs)."""
     return (
-        F.when(value.rlike(r"^[0-9]+$|^[a-z_/=-]+$|^[A-Z_/=-]+$"), None)
+        F.when(value.rlike(r"^[0-9]*$|^[a-z_/=-]+$|^[A-Z_/=-]+$"), None)
         .when(value.rlike(r"^[0-9a-f]+$|^[0-9A-F]+$"), "hex")
         .when(value.rlike(r"^[A-Z2-7]+$"), "base32")
         .when(value.rlike(r"^[a-z2-7]+$"), "lower32")

@@ -1,6 +1,7 @@
 """The operators as Spark jobs: brute force on small tables, and odd rows of all kinds."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -240,6 +241,62 @@ def test_random_runs_are_found_and_words_are_not(spark):
     assert all(("[secret]" in r.text) == (r.doc_id in touched) and r.n_chars == len(r.text) for r in masked)
 
 
+def slow_battery(value):
+    """(length, random, p) of a run, by its tests one by one; p is 1 where no encoding fits."""
+    bare = value.translate(str.maketrans("-_=", "+/ ")).rstrip(" ")
+    if not bare or re.fullmatch(r"[0-9]+|[a-z/]+|[A-Z/]+", bare):
+        return len(bare), False, 1.0
+    names = ["hex", "base32", "lower32", "base36", "lower36", "alnum"]
+    fits = [k for k in names if set(bare) <= set(secrets.ALPHABETS[k][0]) or (k == "hex" and set(bare) <= set("0123456789ABCDEF"))]
+    name = fits[0] if fits else "base64"
+    alphabet, ic = secrets.ALPHABETS[name]
+    text = bare.lower() if name == "hex" else bare
+    n, size = len(text), len(alphabet)
+    chi = sum(text.count(c) ** 2 for c in set(text)) * size / n - n
+    z_chi = (np.cbrt(chi / (size - 1)) - (1 - 2 / (9 * (size - 1)))) / (2 / (9 * (size - 1))) ** 0.5
+    at = np.array([alphabet.find(c) + 1 for c in text], float)
+    halves = "".join(" " if v == 0 else "01"[int(v > size // 2)] for v in at)
+    mean = 2 * halves.count("1") * (n - halves.count("1")) / n + 1
+    z_runs = 99 if mean <= 2 else (halves.count("01") + halves.count("10") + 1 - mean) / ((mean - 1) * (mean - 2) / (n - 1)) ** 0.5
+    away = at - at.mean()
+    z_serial = (away[:-1] * away[1:]).sum() / (away**2).sum() * n**0.5 if (away**2).sum() > 0 else 99
+    shift = n * (size * ic - 1)
+    z_text = (chi - (size - 1) - shift) / (2 * (size - 1 + 2 * shift)) ** 0.5
+    return n, n >= 20 and z_chi <= 3.29 and abs(z_runs) <= 3.29 and abs(z_serial) <= 3.29, 0.5 * math.erfc(-z_text / 2**0.5)
+
+
+def test_battery_and_discovery_control_by_brute_force(spark):
+    """Every run's tests, the step-up rule over all runs of a class of length, and the spans that come of it."""
+    rng = random.Random(14)
+    sets = ["0123456789abcdef", "0123456789ABCDEF", *(a for a, _ in secrets.ALPHABETS.values()), "abcde=", "etaoin-shrdlu_ETAOIN", "0123456789", "="]
+    run = lambda: "".join(rng.choices(rng.choice(sets), k=rng.choice([1, 15, 20, 21, 40, 64, 70, 128, 200])))
+    texts = [" ".join(rng.choice([run, lambda: "words " * 3, lambda: "token: " + run()])() for _ in range(rng.randint(1, 5))) for _ in range(250)]
+    texts += ["=" * 40, "+" + "=" * 30, "-" * 25, "_" * 30 + "=" * 9, "title\n" + "=" * 20 + "\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    runs = [(k, m.start(), m.end(), *slow_battery(m[0])) for k, t in enumerate(texts) for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", t)]
+    tested = {(r.doc_id, x["start"]): x for r in secrets.with_candidates(docs).select("doc_id", "_secret_runs").collect() for x in r["_secret_runs"]}
+    assert sorted(tested) == sorted((k, a) for k, a, *_ in runs) and sum(r[4] for r in runs) > 100
+    for k, a, b, n, fair, p in runs:
+        x = tested[k, a]
+        assert (x["stop"], x["length"], x["random"]) == (b, n, fair) and x["p"] == pytest.approx(p, rel=2e-3, abs=2e-7)
+    by_class = defaultdict(list)
+    for k, a, b, n, fair, _ in runs:
+        if fair:
+            at = math.floor(20 * min(30, -math.log10(max(tested[k, a]["p"], 1e-30))))
+            by_class[sum(n >= low for low in (20, 32, 64, 128))].append((at, k, a, b))
+    want = {k: [tuple(x.split(":")) for x in base_spans(t).split(",") if x] for k, t in enumerate(texts)}
+    more = defaultdict(list)
+    for own in by_class.values():
+        least = min((at for at, *_ in own if 10 ** (-at / 20) <= 0.01 * sum(o[0] >= at for o in own) / len(own)), default=10**9)
+        for at, k, a, b in own:
+            if at >= least and not any(int(x) < b and a < int(y) for _, x, y in want[k]):
+                more[k].append(("random", str(a), str(b)))
+    kinds = ("assign", "access", "hex", "random")
+    for r in secrets.find_secrets(docs).select("doc_id", secrets.written(F.col("spans")).alias("spans")).collect():
+        assert r.spans == ",".join(map(":".join, sorted(want[r.doc_id] + more[r.doc_id], key=lambda x: (int(x[1]), kinds.index(x[0])))))
+    assert sum(map(len, more.values())) > 20
+
+
 def test_encoding_round_trip_with_small_chunks(spark, odd):
     model = sentencepiece.load_model()
     whole = {(r.doc_id, r.text_sha256): list(r.ids) for r in sentencepiece.encode_texts(odd, model, check=True).collect() if r.round_trip}
