@@ -169,3 +169,14 @@ def test_never_worse_than_the_library(model):
     library = spm.SentencePieceProcessor(model_proto=proto.SerializeToString())
     for text in ("the quick brown fox", "tionen atheth", "über den Wolken", "x y z"):
         assert sum(map(library.get_score, model.encode(text))) >= sum(map(library.get_score, library.encode(text))) - 1e-3
+
+
+def test_grams_by_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = ["", None, "1", "a", "a1", "1a", "..ab  cd..", "x" * 30, "\U00010400\ud800é ß  ", *("".join(rng.choice(list("ab ,É1\U00010400"), 40)) for _ in range(50))]
+    for block in (1, 2, 7, 1 << 17):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        for text in texts:
+            code = langid.codes(text)
+            want = langid.grams(code) if len(code) else np.zeros(0, np.uint64)
+            assert np.array_equal(np.concatenate([np.zeros(0, np.uint64), *langid.packed(text)]), want)
